@@ -68,11 +68,16 @@ def mart_customer_segments(rfm: DataFrame) -> DataFrame:
     )
 
 
-def customer_cohort(sales: DataFrame, key: str = "customer_name") -> DataFrame:
+def customer_cohort(sales: DataFrame, key: str = "customer_name",
+                    visits: DataFrame | None = None) -> DataFrame:
     """Every sale with the month of the customer's first purchase and the months
     since then. The first purchase is a per-customer minimum joined back, so a
-    customer with very many sales never has to fit one task."""
-    first = sales.groupBy(key).agg(F.min("sale_date").alias("first_sale"))
+    customer with very many sales never has to fit one task.
+
+    ``visits`` may give the key and date of the same sales from a cheaper source.
+    """
+    visits = sales if visits is None else visits
+    first = visits.groupBy(key).agg(F.min("sale_date").alias("first_sale"))
     return attach(sales, first, [key]).select(
         *sales.columns,
         year_month("first_sale").alias("customer_cohort"),
@@ -119,12 +124,18 @@ def customer_features(sales: DataFrame, as_of: dt.date | str | None = None,
     scaled to mean 0 and sample deviation 1."""
     numbers = _rfm_numbers(sales, key, as_of)
     sources = {"r": "recency_days", "f": "frequency", "m": "monetary_value"}
-    scaled = {}
-    for name, source in sources.items():
-        mean = numbers.agg(F.avg(source)).scalar()
-        deviation = numbers.agg(F.stddev(source)).scalar()
-        scaled[name] = ratio(F.col(source) - mean, deviation)
-    return numbers.select(key, *[c.alias(name) for name, c in scaled.items()])
+    moments = numbers.agg(
+        F.struct(
+            *[F.avg(c).alias(f"{name}_mean") for name, c in sources.items()],
+            *[F.stddev(c).alias(f"{name}_deviation") for name, c in sources.items()],
+        )
+    ).scalar()
+    beside = numbers.withColumn("__all", moments)
+    scaled = {
+        name: ratio(F.col(c) - F.col(f"__all.{name}_mean"), F.col(f"__all.{name}_deviation"))
+        for name, c in sources.items()
+    }
+    return beside.select(key, *[c.alias(name) for name, c in scaled.items()])
 
 
 def customer_360(sales: DataFrame, customers: DataFrame) -> DataFrame:

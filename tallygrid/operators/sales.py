@@ -23,6 +23,11 @@ EXECUTIVE_LABELS = (
 )
 
 
+def distinct_count(c: str, approximate: bool) -> Column:
+    """Exact, or from a sketch whose size does not grow with the data."""
+    return F.approx_count_distinct(c) if approximate else F.count_distinct(c)
+
+
 def sales_clean(df: DataFrame) -> DataFrame:
     """Drops header lines read as data, and rows without a transaction id."""
     return df.where(F.col("transaction_id") != "transaction_id")
@@ -41,13 +46,13 @@ def sales_date_parts(sales: DataFrame) -> DataFrame:
     )
 
 
-def sales_kpi_global(sales: DataFrame) -> DataFrame:
+def sales_kpi_global(sales: DataFrame, approximate: bool = False) -> DataFrame:
     return sales.agg(
         rows().alias("total_transactions"),
         exact_sum("total_amount").alias("total_revenue"),
         exact_mean("total_amount").alias("avg_transaction_value"),
         F.sum("quantity").alias("total_units_sold"),
-        F.count_distinct("customer_id").alias("unique_customers"),
+        distinct_count("customer_id", approximate).alias("unique_customers"),
     )
 
 
@@ -63,13 +68,11 @@ def sales_by_category(sales: DataFrame) -> DataFrame:
 
 
 def sales_by_region(sales: DataFrame, approximate: bool = False) -> DataFrame:
-    """``approximate`` counts customers with a sketch instead of exactly."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     stats = sales.groupBy("region").agg(
         rows().alias("transactions"),
         exact_sum("total_amount").alias("revenue"),
         exact_mean("total_amount").alias("avg_order_value"),
-        distinct(F.col("customer_id")).alias("unique_customers"),
+        distinct_count("customer_id", approximate).alias("unique_customers"),
     )
     per_customer = ratio("revenue", "unique_customers")
     return stats.withColumn("revenue_per_customer", per_customer).orderBy(
@@ -77,12 +80,12 @@ def sales_by_region(sales: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def salesperson_performance(sales: DataFrame) -> DataFrame:
+def salesperson_performance(sales: DataFrame, approximate: bool = False) -> DataFrame:
     stats = sales.groupBy("salesperson").agg(
         rows().alias("total_sales"),
         exact_sum("total_amount").alias("total_revenue"),
         exact_mean("total_amount").alias("avg_sale_amount"),
-        F.count_distinct("customer_id").alias("customers_served"),
+        distinct_count("customer_id", approximate).alias("customers_served"),
     )
     return stats.orderBy(F.desc("total_revenue"), "salesperson")
 
@@ -184,15 +187,17 @@ def sales_enriched(sales: DataFrame, margin_rate: float = 0.3) -> DataFrame:
     )
 
 
-def sales_running_total(sales: DataFrame) -> DataFrame:
+def sales_running_total(sales: DataFrame, amounts: DataFrame | None = None) -> DataFrame:
     """Every sale with the revenue of all sales up to and including its day.
 
     Sales are summed per day, the days are cumulated, and the result is joined
     back. There are at most 3.7 million days between the years 1 and 9999, so
-    one task can order them and every task can hold them.
+    one task can order them and every task can hold them. ``amounts`` may give the
+    date and amount of the same sales from a cheaper source.
     """
+    amounts = sales if amounts is None else amounts
     day_key = F.col("sale_date").cast("date")
-    per_day = sales.groupBy(day_key.alias("__day")).agg(exact_total("total_amount").alias("t"))
+    per_day = amounts.groupBy(day_key.alias("__day")).agg(exact_total("total_amount").alias("t"))
     up_to = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
     so_far = per_day.select("__day", F.sum("t").over(up_to).cast("double").alias("running_total"))
     return sales.join(
@@ -200,21 +205,25 @@ def sales_running_total(sales: DataFrame) -> DataFrame:
     ).drop("__day")
 
 
-def sales_daily_rank(sales: DataFrame, slot_width: float = 1000.0) -> DataFrame:
-    """Every sale with its rank by amount, highest first, within its day."""
-    standing = standings(sales, "sale_date", "total_amount", slot_width)
+def sales_daily_rank(sales: DataFrame, slot_width: float = 1000.0,
+                     amounts: DataFrame | None = None) -> DataFrame:
+    """Every sale with its rank by amount, highest first, within its day.
+    ``amounts`` may give the date and amount of the same sales from a cheaper source."""
+    amounts = sales if amounts is None else amounts
+    standing = standings(amounts, "sale_date", "total_amount", slot_width)
     ranked = attach(sales, standing, ["sale_date", "total_amount"])
     above = F.col("group_n") - F.col("below") - F.col("n")
     return ranked.select(*sales.columns, (above + 1).alias("daily_rank"))
 
 
-def geographic_analysis(sales: DataFrame, key: str = "customer_name") -> DataFrame:
+def geographic_analysis(sales: DataFrame, key: str = "customer_name",
+                        approximate: bool = False) -> DataFrame:
     """Revenue by region and category, its share of the region, and the region's
     rank within the category. The windows run over the aggregate only."""
     cells = sales.groupBy("region", "category").agg(
         exact_total("total_amount").alias("exact"),
         rows().alias("transactions"),
-        F.count_distinct(key).alias("unique_customers"),
+        distinct_count(key, approximate).alias("unique_customers"),
         exact_mean("total_amount").alias("avg_transaction"),
     )
     in_region = F.sum("exact").over(Window.partitionBy("region"))

@@ -75,7 +75,7 @@ SELECT {COLUMNS}, strftime(first_sale, '%Y-%m') AS customer_cohort,
        END AS period_number
 FROM gaps"""))
 def _(star):
-    return ops.customer_cohort(star.sales())
+    return ops.customer_cohort(star.sales(), visits=star.sales("customer_name", "sale_date"))
 
 
 @query("customer_affinity", over("""

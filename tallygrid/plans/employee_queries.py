@@ -16,8 +16,9 @@ SALARY_RANGE = (0, 9500)
 CITY_MINIMUM = 55
 
 
-def staff(star: Star):
-    return emp.emp_clean(star.employees())
+def staff(star: Star, *columns: str):
+    """Clean employees, or the id and the given columns of them."""
+    return emp.emp_clean(star.employees(*dict.fromkeys(("id", *columns)) if columns else ()))
 
 
 AGE_BAND = """CASE WHEN age < 30 THEN 'Young (< 30)' WHEN age < 40 THEN 'Middle (30-39)'
@@ -34,7 +35,7 @@ def _(star):
 
 @query("emp_total", over("SELECT count(*) AS total_count FROM emp"))
 def _(star):
-    return emp.emp_total(staff(star))
+    return emp.emp_total(staff(star, "id"))
 
 
 @query("emp_department_stats", over(f"""
@@ -42,7 +43,7 @@ SELECT department, count(*) AS employee_count, {mean('salary')} AS avg_salary,
        min(salary) AS min_salary, max(salary) AS max_salary, {int_mean('age')} AS avg_age
 FROM emp GROUP BY department ORDER BY employee_count DESC, department"""))
 def _(star):
-    return emp.emp_department_stats(staff(star))
+    return emp.emp_department_stats(staff(star, "department", "salary", "age"))
 
 
 @query("emp_city_stats", over(f"""
@@ -57,7 +58,7 @@ SELECT {AGE_BAND} AS age_group, count(*) AS count, {mean('salary')} AS avg_salar
        {int_mean('age')} AS avg_age
 FROM emp GROUP BY 1"""))
 def _(star):
-    return emp.emp_age_groups(staff(star))
+    return emp.emp_age_groups(staff(star, "salary", "age"))
 
 
 @query("emp_salary_brackets", over(f"""
@@ -65,7 +66,7 @@ SELECT {SALARY_BAND} AS salary_bracket, count(*) AS count, {mean('salary')} AS a
        {int_mean('age')} AS avg_age
 FROM emp GROUP BY 1"""))
 def _(star):
-    return emp.emp_salary_brackets(staff(star), edges=SALARY_EDGES)
+    return emp.emp_salary_brackets(staff(star, "salary", "age"), edges=SALARY_EDGES)
 
 
 @query("emp_status", over(f"""
@@ -73,7 +74,7 @@ SELECT status, count(*) AS count, {mean('salary')} AS avg_salary,
        count(*) * 100.0::double / sum(count(*)) OVER () AS percentage
 FROM emp GROUP BY status"""))
 def _(star):
-    return emp.emp_status(staff(star))
+    return emp.emp_status(staff(star, "status", "salary"))
 
 
 @query("emp_top_earners", over("""
@@ -88,7 +89,7 @@ SELECT 'Department: ' || department || ' | Employees: ' || count(*)
        || ' | Avg Age: ' || round({int_mean('age')})::bigint AS report_line
 FROM emp GROUP BY department"""))
 def _(star):
-    return emp.emp_department_report(staff(star))
+    return emp.emp_department_report(staff(star, "department", "salary", "age"))
 
 
 @query("emp_anomalies", over(f"SELECT * FROM emp WHERE {ODD_ROW}"))
@@ -98,13 +99,13 @@ def _(star):
 
 @query("emp_anomaly_count", over(f"SELECT count(*) AS anomaly_count FROM emp WHERE {ODD_ROW}"))
 def _(star):
-    return emp.emp_anomaly_count(staff(star), salary=SALARY_RANGE)
+    return emp.emp_anomaly_count(staff(star, "salary", "age"), salary=SALARY_RANGE)
 
 
 @query("emp_department_count", over(
     "SELECT department, count(*) AS count FROM emp GROUP BY department"))
 def _(star):
-    return emp.emp_department_count(staff(star))
+    return emp.emp_department_count(staff(star, "department"))
 
 
 WINDOWS = f"""
@@ -129,16 +130,20 @@ SELECT department, performance_segment, count(*) AS employee_count, {mean('salar
 FROM segments GROUP BY department, performance_segment)"""
 
 
-def windows(star):
-    return emp.emp_performance_windows(staff(star), as_of=AS_OF)
+JUDGED_BY = ("department", "salary", "hire_date")
 
 
-def segments(star):
-    return emp.emp_performance_segments(windows(star))
+def windows(star, *columns):
+    return emp.emp_performance_windows(staff(star, *columns), as_of=AS_OF)
+
+
+def segments(star, *columns):
+    return emp.emp_performance_segments(windows(star, *columns))
 
 
 def trends(star):
-    return rounded(emp.salary_trends(segments(star)), "salary_std", "avg_tenure")
+    judged = segments(star, *JUDGED_BY, "status")
+    return rounded(emp.salary_trends(judged), "salary_std", "avg_tenure")
 
 
 @query("emp_performance_windows", over(WINDOWS))
@@ -160,7 +165,7 @@ def _(star):
 SELECT name, department, salary, years_service, salary_rank FROM segments
 WHERE performance_segment = 'High Performer'"""))
 def _(star):
-    return emp.top_performers(segments(star))
+    return emp.top_performers(segments(star, *JUDGED_BY, "name"))
 
 
 @query("emp_salary_trends_top5", over(SEGMENTED + """
@@ -178,14 +183,14 @@ SELECT department, count(*) AS employees, {mean('salary')} AS avg_salary,
 SELECT *, round(total_salary * 100.0::double / sum(total_salary) OVER (), 1) AS pct_of_total
 FROM ({MASS})"""))
 def _(star):
-    return emp.mart_department(staff(star))
+    return emp.mart_department(staff(star, "department", "salary"))
 
 
 @query("mart_age_group", over(f"""
 SELECT {AGE_BAND} AS age_group, count(*) AS count, {mean('salary')} AS avg_salary
 FROM emp GROUP BY 1"""))
 def _(star):
-    return emp.mart_age_group(staff(star))
+    return emp.mart_age_group(staff(star, "salary", "age"))
 
 
 @query("mart_city", over(f"""
@@ -199,7 +204,7 @@ def _(star):
 SELECT department AS "Department", employees AS "Employees", avg_salary AS "Avg Salary",
        total_salary AS "Total Salary" FROM ({MASS})"""))
 def _(star):
-    return emp.export_departments(staff(star))
+    return emp.export_departments(staff(star, "department", "salary"))
 
 
 RULES = {

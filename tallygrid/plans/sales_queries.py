@@ -130,7 +130,8 @@ SELECT {COLUMNS},
        (sum(total_amount::decimal(18,2)) OVER (ORDER BY sale_date))::double AS running_total
 FROM sales"""))
 def _(star):
-    return ops.sales_running_total(star.sales())
+    return ops.sales_running_total(
+        star.sales(), amounts=star.sales("sale_date", "total_amount"))
 
 
 @query("sales_daily_rank", over(f"""
@@ -138,7 +139,7 @@ SELECT {COLUMNS},
        rank() OVER (PARTITION BY sale_date ORDER BY total_amount DESC) AS daily_rank
 FROM sales"""))
 def _(star):
-    return ops.sales_daily_rank(star.sales())
+    return ops.sales_daily_rank(star.sales(), amounts=star.sales("sale_date", "total_amount"))
 
 
 @query("geographic_analysis", over(f"""

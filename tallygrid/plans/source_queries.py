@@ -94,6 +94,14 @@ def _(star):
     return tables.map_double(star.sales("quantity"), "quantity")
 
 
+@query("collection_samples")
+def _(star):
+    return tables.collection_samples({
+        "sales": star.documents(),
+        "customers": star.customer_documents(),
+    })
+
+
 @query("preview", over(f"""
 SELECT {COLUMNS} FROM sales ORDER BY transaction_id, total_amount, customer_id LIMIT 5"""))
 def _(star):
@@ -186,7 +194,7 @@ WHERE year_month = '1998-05'"""))
 def _(star):
     rows = sales.sales_enriched(star.sales("sale_date", "region", "total_amount", "quantity"))
     rows = rows.select("year_month", "region", "total_amount")
-    read = round_trip(star, rows.repartition("year_month", "region"),
+    read = round_trip(star, rows,
                       lambda d, p: sinks.write_table(d, p, ["year_month"]),
                       lambda s, p: s.read.parquet(p), "sales")
     return read.where(F.col("year_month") == "1998-05")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallygrid.sources import schemas
 
 SALES_COLUMNS = tuple(f.name for f in schemas.SALES)
+EMPLOYEE_COLUMNS = tuple(f.name for f in schemas.EMPLOYEES)
 PART_COLUMNS = {"product_name", "category"}
 CUSTOMER_COLUMNS = {"customer_name", "region"}
 ORDER_COLUMNS = {"customer_id", "sale_date"} | CUSTOMER_COLUMNS
@@ -29,23 +30,25 @@ class Star:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            reader = self.spark.read.schema(schemas.STAR[name])
+            self._tables[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def _nations(self) -> DataFrame:
-        """25 nations with their region. The benchmark fixes their number at every
-        scale, so broadcasting them needs no further check."""
-        nation, region = self.table("nation"), self.table("region")
-        return F.broadcast(
-            nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
-        )
+    def _nations(self, regions: bool = False) -> DataFrame:
+        """25 nations, on request with their region. The benchmark fixes their number
+        at every scale, so broadcasting them needs no further check."""
+        nation = self.table("nation")
+        if regions:
+            region = F.broadcast(self.table("region"))
+            nation = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        return F.broadcast(nation)
 
     def _orders(self, wanted: set[str]) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if wanted & CUSTOMER_COLUMNS:
             customer = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
             if "region" in wanted:
-                nations = self._nations()
+                nations = self._nations(regions=True)
                 customer = customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         return orders
@@ -90,21 +93,26 @@ class Star:
         }
         return lines.select(*[values[c]().alias(c) for c in columns or SALES_COLUMNS])
 
-    def employees(self) -> DataFrame:
-        customer = self.table("customer")
+    def employees(self, *columns: str) -> DataFrame:
+        """The employee table, or the given columns of it."""
+        people = self.table("customer")
+        if not columns or "city" in columns:
+            people = people.join(
+                self._nations(), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+            )
         key = F.col("c_custkey")
         hired = F.date_add(F.lit("2016-01-01").cast("date"), ((key * 37) % 2400).cast("int"))
-        people = customer.join(self._nations(), customer.c_nationkey == F.col("n_nationkey"), "left")
-        return people.select(
-            key.cast("int").alias("id"),
-            F.col("c_name").alias("name"),
-            (18 + key % 55).cast("int").alias("age"),
-            F.col("n_name").alias("city"),
-            F.col("c_acctbal").alias("salary"),
-            F.col("c_mktsegment").alias("department"),
-            hired.cast("string").alias("hire_date"),
-            F.when(key % 25 == 0, "Inactive").otherwise("Active").alias("status"),
-        )
+        values = {
+            "id": key.cast("int"),
+            "name": F.col("c_name"),
+            "age": (18 + key % 55).cast("int"),
+            "city": F.col("n_name"),
+            "salary": F.col("c_acctbal"),
+            "department": F.col("c_mktsegment"),
+            "hire_date": hired.cast("string"),
+            "status": F.when(key % 25 == 0, "Inactive").otherwise("Active"),
+        }
+        return people.select(*[values[c].alias(c) for c in columns or EMPLOYEE_COLUMNS])
 
     def raw_employees(self) -> DataFrame:
         """Employees as they might arrive: blanks, other letter case, missing

@@ -10,8 +10,8 @@ from tallygrid.streaming import events as ev
 from tallygrid.streaming.run import drained, drained_to_the_end
 
 
-def stream(star):
-    return ev.event_stream(star.spark, star.folder, "events.parquet")
+def stream(star, positions=None):
+    return ev.event_stream(star.spark, star.folder, "events.parquet", positions=positions)
 
 
 def zoneless(df):
@@ -40,8 +40,9 @@ def _(star):
 
 @query("stream_dedup", "SELECT DISTINCT ON (event_id) * FROM events")
 def _(star):
-    twice = stream(star).unionByName(stream(star))
-    return zoneless(drained(star.spark, ev.stream_dedup(twice, late="40 days"), "dedup"))
+    twice = stream(star, "place").unionByName(stream(star, "place"))
+    once = ev.stream_dedup(twice, late="40 days", positions="place")
+    return zoneless(drained(star.spark, once, "dedup"))
 
 
 @query("stream_anomalies", """

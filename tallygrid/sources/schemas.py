@@ -64,6 +64,41 @@ CUSTOMER_DOCUMENT = _row(
     marketing_consent=T.BooleanType(),
 )
 
+#: The star schema the logical tables are projected from. Declaring it saves a
+#: footer-reading job per table.
+STAR = {
+    "region": _row(r_regionkey=INT, r_name=TEXT),
+    "nation": _row(n_nationkey=INT, n_name=TEXT, n_regionkey=INT),
+    "customer": _row(
+        c_custkey=LONG, c_name=TEXT, c_nationkey=INT, c_acctbal=DOUBLE, c_mktsegment=TEXT
+    ),
+    "supplier": _row(s_suppkey=LONG, s_name=TEXT, s_nationkey=INT, s_acctbal=DOUBLE),
+    "part": _row(
+        p_partkey=LONG, p_name=TEXT, p_brand=TEXT, p_type=TEXT, p_size=INT, p_retailprice=DOUBLE
+    ),
+    "orders": _row(
+        o_orderkey=LONG,
+        o_custkey=LONG,
+        o_orderstatus=TEXT,
+        o_totalprice=DOUBLE,
+        o_orderdate=ZONELESS,
+        o_orderpriority=TEXT,
+    ),
+    "lineitem": _row(
+        l_orderkey=LONG,
+        l_partkey=LONG,
+        l_suppkey=LONG,
+        l_linenumber=INT,
+        l_quantity=DOUBLE,
+        l_extendedprice=DOUBLE,
+        l_discount=DOUBLE,
+        l_tax=DOUBLE,
+        l_returnflag=TEXT,
+        l_linestatus=TEXT,
+        l_shipdate=ZONELESS,
+    ),
+}
+
 EVENTS = _row(
     event_id=LONG, ts=ZONELESS, user_id=LONG, event_type=TEXT, value=DOUBLE, props=TEXT
 )

@@ -39,7 +39,13 @@ def write_documents(df: DataFrame, path: str, one_file: bool = False) -> None:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Parquet, optionally laid out by columns so that later scans prune."""
+    """Parquet, optionally laid out by columns so that later scans prune.
+
+    A layout first brings rows of one folder together, so that not every task
+    writes into every folder; adaptive execution splits folders that are large.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     _writer(df, False).partitionBy(*partition_by).parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,12 +86,23 @@ def preview(df: DataFrame, n: int = 5, order: tuple[Column | str, ...] = ()) ->
 
 def collection_profile(collections: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every collection."""
-    parts = [df.agg(rows().alias("count")).select(F.lit(name).alias("collection"), "count")
-             for name, df in collections.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    parts = [
+        df.agg(rows().alias("count")).select(F.lit(name).alias("collection"), "count")
+        for name, df in collections.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def collection_samples(collections: Mapping[str, DataFrame], n: int = 3,
+                       order: str = "_id") -> DataFrame:
+    """The first ``n`` documents of every collection as JSON text."""
+    parts = [
+        df.orderBy(order).limit(n).select(
+            F.lit(name).alias("collection"), F.to_json(F.struct(*df.columns)).alias("document")
+        )
+        for name, df in collections.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def map_double(df: DataFrame, c: str, name: str = "doubled") -> DataFrame:

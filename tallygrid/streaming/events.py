@@ -11,14 +11,19 @@ from tallygrid.sources import schemas
 
 def event_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
                  max_files_per_trigger: int | None = None,
-                 max_bytes_per_trigger: str | None = None) -> DataFrame:
-    """Parquet event files as a stream. The two limits bound one micro-batch."""
+                 max_bytes_per_trigger: str | None = None,
+                 positions: str | None = None) -> DataFrame:
+    """Parquet event files as a stream. The two limits bound one micro-batch.
+    ``positions`` names a column for each row's place in its file."""
     reader = spark.readStream.schema(schemas.EVENTS).option("pathGlobFilter", file_glob)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return with_event_time(reader.parquet(folder))
+    events = reader.parquet(folder)
+    if positions is not None:
+        events = events.withColumn(positions, F.col("_metadata.row_index"))
+    return with_event_time(events)
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
@@ -53,9 +58,20 @@ def stream_session(events: DataFrame, gap: str = "30 minutes", late: str = "1 da
     )
 
 
-def stream_dedup(events: DataFrame, late: str = "1 day", key: str = "event_id") -> DataFrame:
-    """One event per key among those that arrive within the allowed lateness."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
+def stream_dedup(events: DataFrame, late: str = "1 day", key: str = "event_id",
+                 positions: str | None = None, lanes: int = 64) -> DataFrame:
+    """One event per key among those that arrive within the allowed lateness.
+
+    With ``positions`` (a column that differs between copies and stays the same
+    when a task is repeated) copies are first reduced in separate lanes, so a key
+    with very many copies does not pass through one task.
+    """
+    events = events.withWatermark("ts", late)
+    if positions is None:
+        return events.dropDuplicatesWithinWatermark([key])
+    laned = events.withColumn("__lane", F.pmod(F.col(positions), F.lit(lanes))).drop(positions)
+    fewer = laned.dropDuplicatesWithinWatermark([key, "__lane"]).drop("__lane")
+    return fewer.dropDuplicatesWithinWatermark([key])
 
 
 def stream_anomalies(events: DataFrame, max_value: float, tag: str = "HIGH_VALUE") -> DataFrame:
