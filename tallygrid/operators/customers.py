@@ -97,10 +97,11 @@ def customer_affinity(sales: DataFrame, key: str = "customer_name",
     run = max(part_size // 16, 1)
     bought = sales.groupBy(key, "product_name").agg(F.count("product_name").alias("n"))
     totals = bought.groupBy(key).agg(F.sum("n").alias("product_count"))
+    last_run = F.greatest(F.floor((F.col("n") - 1) / run), F.lit(0))
     runs = (
         attach(bought, totals, [key])
         .where((F.col("n") > 0) | (F.col("product_count") == 0))
-        .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / run))))
+        .withColumn("run", F.explode(F.sequence(F.lit(0), last_run)))
         .withColumn("length", F.least(F.lit(run), F.col("n") - F.col("run") * run).cast("int"))
     )
     parts = F.greatest(F.ceil(F.col("product_count") / part_size), F.lit(1))

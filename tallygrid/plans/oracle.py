@@ -21,7 +21,7 @@ WITH sales AS (
   LEFT JOIN part ON l_partkey = p_partkey
   LEFT JOIN supplier ON l_suppkey = s_suppkey
 ), employees AS (
-  SELECT c_custkey::int AS id, c_name AS name, (18 + c_custkey % 55)::int AS age,
+  SELECT c_custkey AS id, c_name AS name, (18 + c_custkey % 55)::int AS age,
          n_name AS city, c_acctbal AS salary, c_mktsegment AS department,
          strftime(date '2016-01-01' + ((c_custkey * 37) % 2400)::int, '%Y-%m-%d') AS hire_date,
          CASE WHEN c_custkey % 25 = 0 THEN 'Inactive' ELSE 'Active' END AS status

@@ -103,7 +103,7 @@ class Star:
         key = F.col("c_custkey")
         hired = F.date_add(F.lit("2016-01-01").cast("date"), ((key * 37) % 2400).cast("int"))
         values = {
-            "id": key.cast("int"),
+            "id": key,
             "name": F.col("c_name"),
             "age": (18 + key % 55).cast("int"),
             "city": F.col("n_name"),

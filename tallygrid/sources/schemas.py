@@ -12,8 +12,9 @@ def _row(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+#: The id is a long so that it can count past two billion.
 EMPLOYEES = _row(
-    id=INT, name=TEXT, age=INT, city=TEXT, salary=DOUBLE, department=TEXT, hire_date=TEXT, status=TEXT
+    id=LONG, name=TEXT, age=INT, city=TEXT, salary=DOUBLE, department=TEXT, hire_date=TEXT, status=TEXT
 )
 
 SALES = _row(

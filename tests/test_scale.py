@@ -1,0 +1,143 @@
+"""Plans that hold when the data is large and one key has a third of it."""
+
+import ast
+import pathlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from tallygrid.operators import customers, employees, sales
+from tallygrid.operators.spread import attach, standings
+
+FOLDER = "/root/testdata/sf0.001"
+WRITES = re.compile("^(src_|sink_|stream_|doc_sales_scan|doc_inferred|doc_flat|export_sales_csv|"
+                    "emp_department_headcount)")
+LIBRARY = pathlib.Path(__file__).parent.parent / "tallygrid"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """The plan after adaptive execution, with every column used."""
+    digest = df.agg(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("d"))
+    digest.collect()
+    text = plan(digest)
+    return text[: text.index("== Initial Plan ==")]
+
+
+@pytest.fixture
+def no_broadcast(settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__shuffle__partitions="16",
+    )
+
+
+@pytest.fixture(scope="module")
+def hot_sales(spark):
+    """One customer, one day and one amount with a third of all sales."""
+    n = F.col("id")
+    hot = n % 3 == 0
+    return spark.range(0, 200_000, 1, 8).select(
+        F.concat(F.lit("T"), n.cast("string")).alias("transaction_id"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("c"), (n % 9001).cast("string")))
+        .alias("customer_name"),
+        F.when(hot, F.lit("2024-01-01").cast("date"))
+        .otherwise(F.date_add(F.lit("2024-01-02").cast("date"), (n % 300).cast("int")))
+        .alias("sale_date"),
+        F.when(hot, 99.99).otherwise((n % 100_003) / 100).alias("total_amount"),
+    )
+
+
+def test_cohort_splits_a_hot_customer(no_broadcast, hot_sales):
+    assert "skew=true" in final_plan(customers.customer_cohort(hot_sales))
+
+
+def test_daily_rank_splits_a_hot_amount(no_broadcast, hot_sales):
+    ranked = sales.sales_daily_rank(hot_sales)
+    assert "skew=true" in final_plan(ranked)
+    assert ranked.where("sale_date = '2024-01-01' AND daily_rank <> 1").count() == 0
+
+
+def test_performance_windows_split_a_hot_department(no_broadcast, hot_sales):
+    staff = hot_sales.select(
+        F.crc32("transaction_id").alias("id"),
+        F.when(F.col("customer_name") == "hot", "hot").otherwise(
+            F.substring("customer_name", 1, 2)).alias("department"),
+        F.when(F.col("customer_name") == "hot", 100.0).otherwise(F.col("total_amount"))
+        .alias("salary"),
+        F.lit("2020-01-01").alias("hire_date"),
+        "transaction_id",
+    )
+    assert "skew=true" in final_plan(employees.emp_performance_windows(staff, "2024-01-01"))
+
+
+def test_a_plain_join_back_would_not_split(no_broadcast, hot_sales):
+    """Why ``attach`` joins on a hash as well."""
+    first = hot_sales.groupBy("customer_name").agg(F.min("sale_date").alias("first_sale"))
+    assert "skew=true" not in final_plan(hot_sales.join(first, "customer_name"))
+    assert "skew=true" in final_plan(attach(hot_sales, first, ["customer_name"]))
+
+
+def test_standings_order_slots_not_groups(hot_sales):
+    text = plan(standings(hot_sales, "sale_date", "total_amount"))
+    ordered_by_value = [line for line in text.splitlines()
+                        if "Window [" in line and "total_amount" in line]
+    assert ordered_by_value and all("slot" in line for line in ordered_by_value)
+
+
+def test_running_total_has_no_global_window_over_sales(hot_sales):
+    text = plan(sales.sales_running_total(hot_sales))
+    below_window = text[text.index("Window ["):]
+    assert "HashAggregate" in below_window and "SinglePartition" in below_window
+    assert "transaction_id" not in below_window.split("HashAggregate")[0]
+
+
+@pytest.mark.parametrize("name", sorted(n for n in queries() if not WRITES.match(n)))
+def test_plan_has_no_cross_join_and_no_python(spark, name):
+    text = plan(queries()[name](spark, FOLDER))
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas",
+                 "InArrow", "MapPartitions", "ExistingRDD"):
+        assert word not in text
+
+
+def scans(text):
+    return dict(re.findall(r"FileScan parquet \[([^\]]*)\].*?/(\w+)\.parquet\]", text)[::-1])
+
+
+def test_scans_read_only_what_is_needed(spark):
+    text = plan(queries()["sales_by_category"](spark, FOLDER))
+    found = {table: re.sub(r"#\d+L?", "", columns).split(",") for columns, table in scans(text).items()}
+    assert found == {"lineitem": ["l_partkey", "l_quantity", "l_extendedprice"],
+                     "part": ["p_partkey", "p_type"]}
+
+
+def test_filters_reach_the_scan(spark):
+    text = plan(queries()["emp_anomalies"](spark, FOLDER))
+    assert "PushedFilters" in text
+    text = queries()["customers_without_sales"](spark, FOLDER)._jdf.queryExecution().toString()
+    assert "customer.parquet" in text
+
+
+def test_top_k_does_not_sort_everything(spark):
+    for name in ("emp_top_earners", "top_products", "doc_recent_sales", "doc_find"):
+        assert "TakeOrderedAndProject" in plan(queries()[name](spark, FOLDER))
+
+
+BANNED = {"collect", "toPandas", "toLocalIterator", "localCheckpoint", "crossJoin", "rdd", "udf",
+          "pandas_udf", "applyInPandas", "mapInPandas", "foreach", "cache", "persist", "sample"}
+
+
+@pytest.mark.parametrize("path", sorted(LIBRARY.rglob("*.py")), ids=lambda p: p.stem)
+def test_library_never_pulls_rows_to_the_driver(path):
+    used = {node.attr for node in ast.walk(ast.parse(path.read_text()))
+            if isinstance(node, ast.Attribute)}
+    assert not (used & BANNED) - ({"cache"} if path.stem == "scratch" else set())
