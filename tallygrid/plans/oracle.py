@@ -53,7 +53,10 @@ WITH sales AS (
          CASE c_custkey % 4 WHEN 0 THEN 'Bronze' WHEN 1 THEN 'Silver'
               WHEN 2 THEN 'Gold' ELSE 'Platinum' END AS loyalty_tier,
          c_acctbal AS total_spent, (c_custkey % 50)::int AS total_orders
-  FROM customer WHERE c_custkey % 10 <> 0
+  FROM customer WHERE c_acctbal >= 0
+  UNION ALL
+  SELECT 'KS' || s_suppkey, 'S' || s_suppkey, s_name, 'S' || s_suppkey || '@example.com',
+         'Bronze', 0::double, 0 FROM supplier
 )
 """
 

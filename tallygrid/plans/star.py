@@ -186,32 +186,37 @@ class Star:
         )
 
     def customer_documents(self) -> DataFrame:
-        """Nine of ten customers, so that some sales have no customer document;
-        some share an e-mail address."""
-        customer = self.table("customer").where(F.col("c_custkey") % 10 != 0)
+        """Customers whose account is not in debt, and suppliers as prospects: some
+        sales have no document, some documents no sale. Some share an address."""
+        customer, supplier = self.table("customer"), self.table("supplier")
         key = F.col("c_custkey")
-        mailbox = F.when(key % 97 == 1, key - key % 194).otherwise(key)
-        nothing = F.lit(None).cast("string")
-        return customer.select(
-            F.concat(F.lit("K"), key.cast("string")).alias("_id"),
+        shared = F.when(key % 97 == 1, key - key % 194).otherwise(key)
+        people = customer.where(F.col("c_acctbal") >= 0).select(
             key.cast("string").alias("customer_id"),
             F.col("c_name").alias("name"),
-            F.concat(F.lit("c"), mailbox.cast("string"), F.lit("@example.com")).alias("email"),
-            nothing.alias("phone"),
-            F.struct(
-                nothing.alias("street"),
-                nothing.alias("city"),
-                nothing.alias("country"),
-                nothing.alias("postal_code"),
-            ).alias("address"),
+            F.concat(F.lit("c"), shared.cast("string"), F.lit("@example.com")).alias("email"),
             F.element_at(
                 F.array(*[F.lit(t) for t in ("Bronze", "Silver", "Gold", "Platinum")]),
                 (key % 4 + 1).cast("int"),
             ).alias("loyalty_tier"),
-            F.lit(None).cast("timestamp").alias("registration_date"),
             (key % 50).cast("int").alias("total_orders"),
             F.col("c_acctbal").alias("total_spent"),
-            F.lit(None).cast("timestamp").alias("last_order_date"),
             F.array(F.col("c_mktsegment")).alias("preferences"),
-            (key % 2 == 0).alias("marketing_consent"),
+        )
+        firm = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+        prospects = supplier.select(
+            firm.alias("customer_id"),
+            F.col("s_name").alias("name"),
+            F.concat(firm, F.lit("@example.com")).alias("email"),
+            F.lit("Bronze").alias("loyalty_tier"),
+            F.lit(0).alias("total_orders"),
+            F.lit(0.0).alias("total_spent"),
+            F.array(F.lit("WHOLESALE")).alias("preferences"),
+        )
+        known = people.unionByName(prospects).withColumn("_id", F.concat(F.lit("K"), "customer_id"))
+        return known.select(
+            *[
+                (F.col(f.name) if f.name in known.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in schemas.CUSTOMER_DOCUMENT
+            ]
         )

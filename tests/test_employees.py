@@ -124,3 +124,10 @@ def test_department_mart_shares(make_emp, rows_of):
         ("HR", 1, 100.0, 100.0, 25.0), ("Ops", 2, 150.0, 300.0, 75.0)]
     assert emp.export_departments(df).columns == [
         "Department", "Employees", "Avg Salary", "Total Salary"]
+
+
+def test_signed_zero_and_extreme_salaries_rank_like_plain_windows(make_emp, rows_of):
+    df = make_emp(*[{"salary": s} for s in (-0.0, 0.0, 5.0, -5.0, None, 0.0, 1e9, -1e9)])
+    columns = ("id", "salary_rank", "salary_percentile")
+    got = emp.emp_performance_windows(df, "2024-08-31")
+    assert rows_of(got, *columns) == rows_of(naive_windows(df, "2024-08-31"), *columns)
