@@ -33,3 +33,18 @@ def parsed_date(c: Column | str) -> Column:
 
 def years_between(start: Column, end: Column) -> Column:
     return F.datediff(end, start) / F.lit(DAYS_PER_YEAR)
+
+
+def utc_instant(c: Column | str) -> Column:
+    """The instant a zone-less timestamp names in UTC, whatever the session's zone."""
+    c = column(c)
+    seconds = F.extract(F.lit("SECOND"), c)
+    return F.make_timestamp_ltz(
+        F.year(c), F.month(c), F.day(c), F.hour(c), F.minute(c), seconds, F.lit("UTC")
+    )
+
+
+def utc_reading(c: Column | str) -> Column:
+    """The zone-less reading of an instant in UTC."""
+    local = column(c).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)

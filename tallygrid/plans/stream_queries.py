@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
+from tallygrid.functions.dates import utc_reading
 from tallygrid.plans.catalog import query
 from tallygrid.plans.oracle import total
 from tallygrid.streaming import events as ev
@@ -15,7 +14,7 @@ def stream(star, positions=None):
 
 
 def zoneless(df):
-    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return df.withColumn("ts", utc_reading("ts"))
 
 
 @query("stream_daily", f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygrid.functions.dates import utc_instant, utc_reading
 from tallygrid.functions.money import exact_sum, rows
 from tallygrid.sources import schemas
 
@@ -28,7 +29,7 @@ def event_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
 
 def with_event_time(events: DataFrame) -> DataFrame:
     """Watermarks need an instant, not a zone-less timestamp."""
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return events.withColumn("ts", utc_instant("ts"))
 
 
 def stream_daily(events: DataFrame, late: str = "1 day", width: str = "1 day") -> DataFrame:
@@ -39,7 +40,7 @@ def stream_daily(events: DataFrame, late: str = "1 day", width: str = "1 day") -
         .agg(rows().alias("n"), exact_sum("value").alias("total"))
     )
     return daily.select(
-        F.col("span.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total"
+        utc_reading("span.start").alias("window_start"), "event_type", "n", "total"
     )
 
 
@@ -52,8 +53,8 @@ def stream_session(events: DataFrame, gap: str = "30 minutes", late: str = "1 da
     )
     return sessions.select(
         "user_id",
-        F.col("span.start").cast("timestamp_ntz").alias("start"),
-        F.col("span.end").cast("timestamp_ntz").alias("end"),
+        utc_reading("span.start").alias("start"),
+        utc_reading("span.end").alias("end"),
         "n",
     )
 

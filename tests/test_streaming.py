@@ -85,3 +85,12 @@ def test_anomaly_filter_works_in_batch_too(spark, folder):
     put(spark, folder, rows((1, 0, 1, "a", 200.0), (2, 0, 1, "a", 200.01)))
     df = ev.stream_anomalies(spark.read.parquet(folder), 200)
     assert [r["event_id"] for r in df.select(F.col("event_id")).collect()] == [2]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_days_do_not_depend_on_the_session_zone(spark, settings, folder, rows_of, zone):
+    put(spark, folder, rows((1, 0, 1, "a", 1.0), (2, 1439, 1, "a", 1.0), (3, 1440, 1, "a", 1.0)))
+    settings(spark__sql__session__timeZone=zone)
+    got = drained_to_the_end(spark, ev.event_stream(spark, folder), "daily", ev.stream_daily)
+    assert rows_of(got, "window_start", "n") == [
+        (START, 2), (START + dt.timedelta(days=1), 1)]
