@@ -21,15 +21,16 @@ def column(c: Column | str) -> Column:
 
 
 def exact_total(c: Column | str, times: Column | str | None = None) -> Column:
-    """Sum of ``c`` as decimal(38,6); ``times`` counts each value that often."""
+    """Sum of ``c`` as a decimal with six places; ``times`` counts each value that often."""
     micros = F.rint(column(c) * F.lit(float(MICROS))).cast("bigint")
     high = F.shiftright(micros, LOW_BITS)
     low = micros.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
     if times is not None:
         high, low = high * column(times), low * column(times)
-    base = F.lit(1 << LOW_BITS).cast("decimal(7,0)")
-    total = F.sum(high).cast("decimal(31,0)") * base + F.sum(low).cast("decimal(19,0)")
-    return total.cast("decimal(38,0)") / F.lit(MICROS).cast("decimal(7,0)")
+    # Precisions are chosen so that no step can lose or overflow digits.
+    step = F.lit(1 << LOW_BITS).cast("decimal(7,0)")
+    total = F.sum(high).cast("decimal(19,0)") * step + F.sum(low).cast("decimal(19,0)")
+    return total * F.lit("0.000001").cast("decimal(6,6)")
 
 
 def exact_sum(c: Column | str) -> Column:

@@ -71,7 +71,7 @@ def emp_salary_brackets(emp: DataFrame, edges: Sequence[float] = (60000, 80000),
 
 
 def emp_status(emp: DataFrame) -> DataFrame:
-    """Per status, with its share of all employees."""
+    """Per status, with its share of all employees (a window over the few groups)."""
     stats = emp.groupBy("status").agg(
         rows().alias("count"), exact_mean("salary").alias("avg_salary")
     )
@@ -122,10 +122,10 @@ def emp_department_count(emp: DataFrame) -> DataFrame:
 
 
 def emp_performance_windows(emp: DataFrame, as_of: dt.date | str | None = None,
-                            slot_width: float = 1000.0) -> DataFrame:
+                            slots_per_octave: int = 128) -> DataFrame:
     """Every employee with the department's mean salary, the salary rank (highest
     first, gaps after ties), the percent rank (lowest first) and years of service."""
-    known = attach(emp, standings(emp, "department", "salary", slot_width),
+    known = attach(emp, standings(emp, "department", "salary", slots_per_octave),
                    ["department", "salary"])
     others = F.col("group_n") - 1
     return known.select(
@@ -174,7 +174,8 @@ def top_performers(segments: DataFrame, segment: str = SEGMENTS[0]) -> DataFrame
 
 
 def mart_department(emp: DataFrame) -> DataFrame:
-    """Salary mass per department and its share of the whole."""
+    """Salary mass per department and its share of the whole (a window over the few
+    groups)."""
     mass = emp.groupBy("department").agg(
         rows().alias("employees"),
         exact_mean("salary").alias("avg_salary"),

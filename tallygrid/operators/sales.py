@@ -111,7 +111,8 @@ def top_products(sales: DataFrame, n: int = 10) -> DataFrame:
 
 def basket_analysis(sales: DataFrame, edges: tuple[int, int] = (1, 2),
                     labels: Sequence[str] = BASKET_LABELS) -> DataFrame:
-    """Sales by basket size: exactly the first edge, up to the second, beyond it."""
+    """Sales by basket size: exactly the first edge, up to the second, beyond it.
+    The share is a window over these three groups."""
     units = F.col("quantity")
     basket = (
         F.when(units.isNull(), F.lit(None).cast("string"))
@@ -205,12 +206,12 @@ def sales_running_total(sales: DataFrame, amounts: DataFrame | None = None) -> D
     ).drop("__day")
 
 
-def sales_daily_rank(sales: DataFrame, slot_width: float = 1000.0,
+def sales_daily_rank(sales: DataFrame, slots_per_octave: int = 128,
                      amounts: DataFrame | None = None) -> DataFrame:
     """Every sale with its rank by amount, highest first, within its day.
     ``amounts`` may give the date and amount of the same sales from a cheaper source."""
     amounts = sales if amounts is None else amounts
-    standing = standings(amounts, "sale_date", "total_amount", slot_width)
+    standing = standings(amounts, "sale_date", "total_amount", slots_per_octave)
     ranked = attach(sales, standing, ["sale_date", "total_amount"])
     above = F.col("group_n") - F.col("below") - F.col("n")
     return ranked.select(*sales.columns, (above + 1).alias("daily_rank"))

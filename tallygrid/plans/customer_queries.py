@@ -18,7 +18,7 @@ RFM_SQL = f"""
 WITH numbers AS (
 SELECT customer_name, max(sale_date) AS last_purchase_date, count(transaction_id) AS frequency,
        {total('total_amount')} AS monetary_value, {mean('total_amount')} AS avg_order_value,
-       date_diff('day', max(sale_date), date '{AS_OF}') AS recency_days
+       date_diff('day', max(sale_date), date '{AS_OF}')::int AS recency_days
 FROM sales GROUP BY customer_name), scored AS (
 SELECT *, CASE WHEN recency_days <= 120 THEN 3 WHEN recency_days <= 300 THEN 2 ELSE 1 END
         + CASE WHEN frequency >= 45 THEN 3 WHEN frequency >= 35 THEN 2 ELSE 1 END
@@ -79,7 +79,7 @@ def _(star):
 
 
 @query("customer_affinity", over("""
-SELECT customer_name, 0 AS part, count(product_name) AS product_count,
+SELECT customer_name, 0::bigint AS part, count(product_name) AS product_count,
        array_to_string(list_sort(list(product_name)), '|') AS products_bought
 FROM sales GROUP BY customer_name"""))
 def _(star):

@@ -147,7 +147,7 @@ SELECT region, category, {total('total_amount')} AS revenue, count(*) AS transac
        count(DISTINCT customer_name) AS unique_customers, {mean('total_amount')} AS avg_transaction,
        {total('total_amount')}
          / (sum(sum(total_amount::decimal(18,2))) OVER (PARTITION BY region))::double AS market_share,
-       rank() OVER (PARTITION BY category ORDER BY sum(total_amount::decimal(18,2)) DESC)
+       (rank() OVER (PARTITION BY category ORDER BY sum(total_amount::decimal(18,2)) DESC))::int
          AS region_rank
 FROM sales GROUP BY region, category"""))
 def _(star):

@@ -188,25 +188,38 @@ def _(star):
 
 
 @query("sink_partitioned", over("""
-SELECT year_month, region, total_amount FROM (
-  SELECT strftime(sale_date, '%Y-%m') AS year_month, region, total_amount FROM sales)
-WHERE year_month = '1998-05'"""))
+SELECT strftime(sale_date, '%Y-%m') AS year_month, region, total_amount FROM sales"""))
 def _(star):
-    rows = sales.sales_enriched(star.sales("sale_date", "region", "total_amount", "quantity"))
-    rows = rows.select("year_month", "region", "total_amount")
-    read = round_trip(star, rows,
+    enriched = sales.sales_enriched(star.sales("sale_date", "region", "total_amount", "quantity"))
+    return round_trip(star, enriched.select("year_month", "region", "total_amount"),
                       lambda d, p: sinks.write_table(d, p, ["year_month"]),
                       lambda s, p: s.read.parquet(p), "sales")
-    return read.where(F.col("year_month") == "1998-05")
 
 
-@query("export_sales_csv", over("""
-SELECT transaction_id AS "Transaction ID", product_name AS "Product",
-       category AS "Category", coalesce(total_amount, 0) AS "Amount", region AS "Region",
-       strftime(sale_date, '%Y-%m-%d %H:%M:%S') AS "Date"
-FROM docs"""))
-def _(star):
-    export = documents.export_sales(star.documents(
+def export_sql(text: str) -> str:
+    """``text`` is the form of a text column, with ``{c}`` for its name."""
+    product, category, region = (text.format(c=c) for c in ("product_name", "category", "region"))
+    return over(f"""
+SELECT transaction_id AS "Transaction ID", {product} AS "Product", {category} AS "Category",
+       coalesce(total_amount, 0) AS "Amount", {region} AS "Region",
+       strftime(sale_date, '%Y-%m-%d %H:%M:%S') AS "Date" FROM docs""")
+
+
+def export(star):
+    return documents.export_sales(star.documents(
         "product_name", "category", "total_amount", "region", "sale_date"))
-    return round_trip(star, export, sinks.write_with_header,
-                      lambda s, p: tables.read_with_header(s, p, export.schema), "export")
+
+
+@query("export_sales_csv", export_sql("{c}"))
+def _(star):
+    """Blanks come back from comma text as null."""
+    out = export(star)
+    return round_trip(star, out, sinks.write_with_header,
+                      lambda s, p: tables.read_with_header(s, p, out.schema), "export")
+
+
+@query("export_sales_json", export_sql("coalesce({c}, '')"))
+def _(star):
+    out = export(star)
+    return round_trip(star, out, sinks.write_documents,
+                      lambda s, p: tables.read_collection(s, p, out.schema), "export")

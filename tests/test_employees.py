@@ -78,15 +78,15 @@ def naive_windows(df, as_of):
     )
 
 
-@pytest.mark.parametrize("slot_width", [1000.0, 7.0, 1e9])
-def test_performance_windows_equal_plain_windows(spark, make_emp, rows_of, slot_width):
+@pytest.mark.parametrize("slots_per_octave", [128, 1, 5000])
+def test_performance_windows_equal_plain_windows(spark, make_emp, rows_of, slots_per_octave):
     changes = []
     for i in range(400):
         pay = None if i % 31 == 0 else float((i * 7919) % 97) * 250 - 3000.5
         changes.append({"salary": pay, "department": None if i % 29 == 0 else f"D{(i * i) % 4}"})
     changes.append({"department": "Alone", "salary": 5.0})
     df = make_emp(*changes)
-    got = emp.emp_performance_windows(df, "2024-08-31", slot_width=slot_width)
+    got = emp.emp_performance_windows(df, "2024-08-31", slots_per_octave=slots_per_octave)
     got = got.withColumn("dept_avg_salary", F.round("dept_avg_salary", 6))
     columns = ("id", "dept_avg_salary", "salary_rank", "salary_percentile")
     assert rows_of(got, *columns) == rows_of(naive_windows(df, "2024-08-31"), *columns)

@@ -107,12 +107,12 @@ def test_running_total_equals_plain_window(make_sales, rows_of):
     assert rows_of(got) == rows_of(plain)
 
 
-@pytest.mark.parametrize("slot_width", [1000.0, 300.0])
-def test_daily_rank_equals_plain_window(make_sales, rows_of, slot_width):
+@pytest.mark.parametrize("slots_per_octave", [128, 2])
+def test_daily_rank_equals_plain_window(make_sales, rows_of, slots_per_octave):
     df = many(make_sales)
     by_day = Window.partitionBy("sale_date").orderBy(F.desc("total_amount"))
     plain = df.select("transaction_id", F.rank().over(by_day).cast("bigint").alias("daily_rank"))
-    got = ops.sales_daily_rank(df, slot_width)
+    got = ops.sales_daily_rank(df, slots_per_octave)
     assert rows_of(got, "transaction_id", "daily_rank") == rows_of(plain)
     assert got.columns == [*df.columns, "daily_rank"]
 

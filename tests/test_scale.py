@@ -109,22 +109,30 @@ def test_plan_has_no_cross_join_and_no_python(spark, name):
         assert word not in text
 
 
-def scans(text):
-    return dict(re.findall(r"FileScan parquet \[([^\]]*)\].*?/(\w+)\.parquet\]", text)[::-1])
+def columns_read(df):
+    """Table name to the columns its scan reads."""
+    found = re.findall(r"FileScan parquet \[([^\]]*)\].*?/(\w+)\.parquet\]", plan(df))
+    return {table: re.sub(r"#\d+L?", "", columns).split(",") for columns, table in found}
 
 
 def test_scans_read_only_what_is_needed(spark):
-    text = plan(queries()["sales_by_category"](spark, FOLDER))
-    found = {table: re.sub(r"#\d+L?", "", columns).split(",") for columns, table in scans(text).items()}
-    assert found == {"lineitem": ["l_partkey", "l_quantity", "l_extendedprice"],
-                     "part": ["p_partkey", "p_type"]}
+    assert columns_read(queries()["sales_by_category"](spark, FOLDER)) == {
+        "lineitem": ["l_partkey", "l_quantity", "l_extendedprice"],
+        "part": ["p_partkey", "p_type"],
+    }
+    assert columns_read(queries()["basket_analysis"](spark, FOLDER)) == {
+        "lineitem": ["l_quantity", "l_extendedprice"],
+    }
+    assert columns_read(queries()["emp_status"](spark, FOLDER)) == {
+        "customer": ["c_custkey", "c_acctbal"],
+    }
 
 
 def test_filters_reach_the_scan(spark):
-    text = plan(queries()["emp_anomalies"](spark, FOLDER))
-    assert "PushedFilters" in text
-    text = queries()["customers_without_sales"](spark, FOLDER)._jdf.queryExecution().toString()
-    assert "customer.parquet" in text
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(c_custkey,0\)",
+                     plan(queries()["emp_total"](spark, FOLDER)))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(c_acctbal,0.0\)",
+                     plan(queries()["sales_without_customer"](spark, FOLDER)))
 
 
 def test_top_k_does_not_sort_everything(spark):
