@@ -77,11 +77,11 @@ def customer_cohort(sales: DataFrame, key: str = "customer_name",
     ``visits`` may give the key and date of the same sales from a cheaper source.
     """
     visits = sales if visits is None else visits
-    first = visits.groupBy(key).agg(F.min("sale_date").alias("first_sale"))
+    first = visits.groupBy(key).agg(F.min("sale_date").alias("__first_sale"))
     return attach(sales, first, [key]).select(
         *sales.columns,
-        year_month("first_sale").alias("customer_cohort"),
-        F.months_between("sale_date", "first_sale").alias("period_number"),
+        year_month("__first_sale").alias("customer_cohort"),
+        F.months_between("sale_date", "__first_sale").alias("period_number"),
     )
 
 

@@ -127,14 +127,14 @@ def emp_performance_windows(emp: DataFrame, as_of: dt.date | str | None = None,
     first, gaps after ties), the percent rank (lowest first) and years of service."""
     known = attach(emp, standings(emp, "department", "salary", slots_per_octave),
                    ["department", "salary"])
-    others = F.col("group_n") - 1
+    others = F.col("__group_n") - 1
     return known.select(
         *emp.columns,
-        F.col("group_mean").alias("dept_avg_salary"),
-        (F.col("group_n") - F.col("below") - F.col("n") + 1).alias("salary_rank"),
-        F.when(others > 0, ratio("below", others)).otherwise(0.0).alias("salary_percentile"),
+        F.col("__group_mean").alias("dept_avg_salary"),
+        (F.col("__group_n") - F.col("__below") - F.col("__n") + 1).alias("salary_rank"),
+        F.when(others > 0, ratio("__below", others)).otherwise(0.0).alias("salary_percentile"),
         years_between(parsed_date("hire_date"), day(as_of)).alias("years_service"),
-        (F.col("salary") > F.col("group_mean")).alias("salary_above_dept_avg"),
+        (F.col("salary") > F.col("__group_mean")).alias("salary_above_dept_avg"),
     )
 
 

@@ -198,9 +198,9 @@ def sales_running_total(sales: DataFrame, amounts: DataFrame | None = None) -> D
     """
     amounts = sales if amounts is None else amounts
     day_key = F.col("sale_date").cast("date")
-    per_day = amounts.groupBy(day_key.alias("__day")).agg(exact_total("total_amount").alias("t"))
+    per_day = amounts.groupBy(day_key.alias("__day")).agg(exact_total("total_amount").alias("__t"))
     up_to = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
-    so_far = per_day.select("__day", F.sum("t").over(up_to).cast("double").alias("running_total"))
+    so_far = per_day.select("__day", F.sum("__t").over(up_to).cast("double").alias("running_total"))
     return sales.join(
         F.broadcast(so_far), day_key.eqNullSafe(F.col("__day")), "left"
     ).drop("__day")
@@ -213,7 +213,7 @@ def sales_daily_rank(sales: DataFrame, slots_per_octave: int = 128,
     amounts = sales if amounts is None else amounts
     standing = standings(amounts, "sale_date", "total_amount", slots_per_octave)
     ranked = attach(sales, standing, ["sale_date", "total_amount"])
-    above = F.col("group_n") - F.col("below") - F.col("n")
+    above = F.col("__group_n") - F.col("__below") - F.col("__n")
     return ranked.select(*sales.columns, (above + 1).alias("daily_rank"))
 
 

@@ -38,9 +38,9 @@ def attach(df: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "lef
 def standings(df: DataFrame, group: str, value: str, slots_per_octave: int = 128) -> DataFrame:
     """Where each distinct value stands within its group.
 
-    Columns: group, value, ``n`` (rows with the value), ``below`` (rows of the
-    group with a smaller value; null counts as smallest), ``group_n`` (rows of
-    the group) and ``group_mean`` (mean of the group's non-null values).
+    Columns: group, value, ``__n`` (rows with the value), ``__below`` (rows of the
+    group with a smaller value; null counts as smallest), ``__group_n`` (rows of
+    the group) and ``__group_mean`` (mean of the group's non-null values).
 
     Equal values are counted before anything is ordered. Values are then ordered
     within slots, and the slots within the group. A slot spans a fixed ratio of
@@ -55,29 +55,29 @@ def standings(df: DataFrame, group: str, value: str, slots_per_octave: int = 128
         .when(F.col(value) < 0, -size)
         .otherwise(size)
     )
-    counted = df.groupBy(group, value).agg(rows().alias("n")).withColumn("slot", slot)
+    counted = df.groupBy(group, value).agg(rows().alias("__n")).withColumn("__slot", slot)
 
-    per_slot = counted.groupBy(group, "slot").agg(
-        F.sum("n").alias("slot_n"),
-        exact_total(value, times="n").alias("slot_total"),
-        F.sum(F.when(F.col(value).isNotNull(), F.col("n"))).alias("slot_known"),
+    per_slot = counted.groupBy(group, "__slot").agg(
+        F.sum("__n").alias("__slot_n"),
+        exact_total(value, times="__n").alias("__slot_total"),
+        F.sum(F.when(F.col(value).isNotNull(), F.col("__n"))).alias("__slot_known"),
     )
     whole_group = Window.partitionBy(group)
-    up_to = whole_group.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    up_to = whole_group.orderBy("__slot").rowsBetween(Window.unboundedPreceding, 0)
     slots = per_slot.select(
         group,
-        "slot",
-        (F.sum("slot_n").over(up_to) - F.col("slot_n")).alias("earlier"),
-        F.sum("slot_n").over(whole_group).alias("group_n"),
-        ratio(F.sum("slot_total").over(whole_group), F.sum("slot_known").over(whole_group)).alias(
-            "group_mean"
+        "__slot",
+        (F.sum("__slot_n").over(up_to) - F.col("__slot_n")).alias("__earlier"),
+        F.sum("__slot_n").over(whole_group).alias("__group_n"),
+        ratio(F.sum("__slot_total").over(whole_group), F.sum("__slot_known").over(whole_group)).alias(
+            "__group_mean"
         ),
     )
 
     inside = (
-        Window.partitionBy(group, "slot").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(group, "__slot").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = counted.withColumn("inside", F.sum("n").over(inside) - F.col("n"))
-    placed = attach(placed, slots, [group, "slot"])
-    below = (F.col("earlier") + F.col("inside")).alias("below")
-    return placed.select(group, value, "n", below, "group_n", "group_mean")
+    placed = counted.withColumn("__inside", F.sum("__n").over(inside) - F.col("__n"))
+    placed = attach(placed, slots, [group, "__slot"])
+    below = (F.col("__earlier") + F.col("__inside")).alias("__below")
+    return placed.select(group, value, "__n", below, "__group_n", "__group_mean")

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallygrid.functions import bands, dates, money, text
@@ -87,3 +89,12 @@ def test_unreadable_dates_become_null(spark):
     assert one(spark, dates.parsed_date(F.lit("31/12/2020"))) is None
     assert str(one(spark, dates.parsed_date(F.lit("2020-12-31")))) == "2020-12-31"
     assert one(spark, dates.day(None)) is not None
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-10**14, 10**14), min_size=1, max_size=40))
+def test_exact_total_of_any_cents(spark, cents):
+    df = spark.createDataFrame([(c / 100,) for c in cents], "x double").repartition(3)
+    total = df.agg(money.exact_total("x").alias("t")).first()["t"]
+    micros = sum(round(c / 100 * 1_000_000) for c in cents)
+    assert int(total.scaleb(6)) == micros

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallygrid.operators import report
+from tallygrid.operators import customers, report
 from tallygrid.operators import employees as emp
 from tallygrid.operators import sales as ops
 
@@ -152,3 +152,13 @@ def test_executive_summary(make_sales, make_emp):
         ("Average Transaction", "$1.75", "Sales"), ("Unique Customers", "2", "Sales"),
         ("Unique Products", "1", "Sales")]
     assert emp.emp_total(make_emp({})).first()[0] == 1
+
+
+def test_row_level_reports_keep_any_other_columns(make_sales, rows_of):
+    extra = {name: F.lit(7) for name in ("n", "t", "below", "group_n", "slot", "first_sale", "inside")}
+    df = make_sales({"total_amount": 1.0}, {"total_amount": 2.0}).withColumns(extra)
+    for got, result in ((ops.sales_daily_rank(df), "daily_rank"),
+                        (ops.sales_running_total(df), "running_total"),
+                        (customers.customer_cohort(df), "customer_cohort")):
+        assert got.columns[: len(df.columns)] == df.columns and result in got.columns
+        assert rows_of(got, *extra) == [(7,) * len(extra)] * 2
