@@ -11,18 +11,27 @@ from tallygrid.sources.scratch import fresh_folder
 
 #: Merge sessions before the shuffle, so that one busy user is reduced early.
 EARLY_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+PARTITIONS = "spark.sql.shuffle.partitions"
 END_OF_TIME = dt.datetime(9000, 1, 1)
 
 
-def drain(stream: DataFrame, out: str, checkpoint: str, timeout: int = 1800) -> None:
+def drain(stream: DataFrame, out: str, checkpoint: str, timeout: int = 7200,
+          partitions: int | None = None) -> None:
     """Process everything the source holds now, append it to ``out`` and stop.
 
     The tasks write the parquet files, each row exactly once even if executors
     are lost. A later call with the same checkpoint goes on where this one ended.
+    State is kept in ``partitions`` parts (one per core of the cluster by default);
+    the first run fixes their number for the checkpoint.
     """
     spark = stream.sparkSession
-    before = spark.conf.get(EARLY_MERGE)
-    spark.conf.set(EARLY_MERGE, "true")
+    wanted = {
+        EARLY_MERGE: "true",
+        PARTITIONS: str(partitions or spark.sparkContext.defaultParallelism),
+    }
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         query = (
             stream.writeStream.outputMode("append")
@@ -35,7 +44,8 @@ def drain(stream: DataFrame, out: str, checkpoint: str, timeout: int = 1800) ->
             query.stop()
             raise TimeoutError(f"stream not drained within {timeout} s")
     finally:
-        spark.conf.set(EARLY_MERGE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def drained(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
