@@ -1,0 +1,74 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from tallygrid.llm import quality
+from tallygrid.llm.queries import op10_quality_rules
+from tests.llm.conftest import FOLDER
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    again = {i + k for i in range(len(words) - 2) for k in range(3) if windows[tuple(words[i : i + 3])] > 1}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    failed = len(words) < 50 or 100 * len(again) > 50 * len(words)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(again), failed)
+
+
+def test_base_numbers(spark, real_rows):
+    out = op10_quality_rules(spark, FOLDER).collect()
+    assert sorted(tuple(r)[:7] for r in out) == sorted((r[0], *brute(r[1])) for r in real_rows)
+    assert not any(r["kept"] for r in out if r["base_failed"])
+
+
+def test_odd_rows(odd, odd_rows, none):
+    out = quality.judged(quality.statistics(odd), []).collect()
+    got = sorted((tuple(r)[:7] for r in out), key=repr)
+    assert got == sorted(((r[0], *brute(r[1])) for r in odd_rows), key=repr)
+    assert quality.judged(quality.statistics(none), []).count() == 0
+
+
+def test_random_texts():
+    draw = np.random.default_rng(1)
+    for _ in range(300):
+        text = "".join(draw.choice(list("ab#é \n\t\x0b"), size=draw.integers(0, 60)))
+        assert quality.text_statistics(text.encode())[:5] == brute(text)[:5]
+
+
+def test_rules_hold_on_labels_not_learned_from(spark):
+    folder = "/root/testdata/sf0.1"
+    numbers = quality.statistics(spark.read.parquet(f"{folder}/documents.parquet")).cache()
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rules = quality.learn(numbers, labels.filter("doc_id % 4 != 0"))
+    assert rules
+    tried = quality.judged(numbers, rules).join(labels.filter("doc_id % 4 = 0"), "doc_id").collect()
+    numbers.unpersist()
+    judged = [r for r in tried if not r["base_failed"]]
+    good = [r for r in judged if r["quality"] == 1]
+    bad = [r for r in judged if r["quality"] == 0]
+    assert sum(r["kept"] for r in good) >= 0.99 * len(good)
+    assert sum(not r["kept"] for r in bad) >= 0.8 * len(bad)
+
+
+def test_learned_list_is_ordered_and_pruned():
+    draw = np.random.default_rng(0)
+    values = draw.random((3000, 2))
+    bad = (values[:, 0] > 0.8) | ((values[:, 1] < 0.2) & (values[:, 0] < 0.5))
+    rules = quality.learn_rules(values, bad, ["a", "b"])
+    said = np.zeros(len(values), dtype=bool)
+    for rule in rules:
+        said |= quality._holds(values, rule, ["a", "b"])
+    assert (said == bad).mean() > 0.97
+
+
+def test_nothing_to_learn(spark, odd):
+    numbers = quality.statistics(odd)
+    assert quality.learn(numbers, spark.createDataFrame([], "doc_id long, quality int")) == []
+    rows = spark.createDataFrame([(None, 1), (4, None), (4, 1), (4, 0)], "doc_id long, quality int")
+    assert quality.learn(numbers, rows) == []
