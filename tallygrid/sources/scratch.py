@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
-
-
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="tallygrid-")
+_made: dict[str, SparkSession] = {}
 
 
 def shared_base(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one in local mode only."""
+    """The shared folder that the cluster names, else one beside the session's tables."""
     base = spark.conf.get(SETTING, None)
-    if base:
-        return base.rstrip("/")
-    if spark.conf.get("spark.master", "local").startswith("local"):
-        return _local_base()
-    raise RuntimeError(f"set {SETTING} to a folder that all executors share")
+    return base.rstrip("/") if base else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+    """A folder of its own, removed when the program ends with its session running."""
+    folder = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(remove_folders)
+    _made[folder] = spark
+    return folder
+
+
+def remove_folders() -> None:
+    while _made:
+        folder, spark = _made.popitem()
+        context = spark.sparkContext
+        if context._jsc is not None and not context._jsc.sc().isStopped():
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
