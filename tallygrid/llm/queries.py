@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import counts, exact, language, mixing, packing, quality, secrets
+from tallygrid.llm import counts, exact, jaccard, language, mixing, packing, quality, secrets
 from tallygrid.llm.common import read_documents, stored
 
 HELD_OUT = 1  # the remainder of a document's id hash by 3 that is not learned from
@@ -48,6 +48,10 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(secrets.spans(docs, secrets.learn(docs)))
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked_documents(read_documents(spark, folder))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     numbers = stored(quality.statistics(read_documents(spark, folder)), "quality-statistics")
     return quality.judged(numbers, quality.learn(numbers, spark.read.parquet(f"{folder}/labels.parquet")))
@@ -56,6 +60,6 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_mixing, op3_language, op4_exact_dedup, op5_token_counts, op6_packing, op8_secrets,
-        op10_quality_rules)
+        op9_jaccard_join, op10_quality_rules)
 }
 SQL: dict[str, str] = {}

@@ -13,7 +13,7 @@ import unicodedata
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED = 250_000
+CACHED = 500_000
 IDS = np.dtype("<u2")  # every id of the vocabulary is below 2 ** 16
 
 # How the vocabulary's file says that text is cut, for the characters
@@ -62,7 +62,9 @@ class Tokens:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text) and "<|" not in text:
+        if word.isalpha():  # letters of ASCII only: one piece
+            found = self._piece(text.lower())
+        elif _PLAIN.fullmatch(text) and "<|" not in text:
             plain = unicodedata.normalize("NFC", text).lower()
             found = b"".join(map(self._piece, _PIECES.findall(plain)))
         else:
