@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import counts, exact, jaccard, language, mixing, packing, quality, secrets
+from tallygrid.llm import counts, exact, jaccard, language, mixing, packing, quality, repeats, secrets
 from tallygrid.llm.common import read_documents, stored
 
 HELD_OUT = 1  # the remainder of a document's id hash by 3 that is not learned from
@@ -43,6 +43,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_documents(spark, folder))
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_words(read_documents(spark, folder))
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder)
     return secrets.report(secrets.spans(docs, secrets.learn(docs)))
@@ -59,7 +63,32 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_mixing, op3_language, op4_exact_dedup, op5_token_counts, op6_packing, op8_secrets,
+        op2_mixing, op3_language, op4_exact_dedup, op5_token_counts, op6_packing, op7_substring_dedup, op8_secrets,
         op9_jaccard_join, op10_quality_rules)
 }
-SQL: dict[str, str] = {}
+_BARE = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
+SQL: dict[str, str] = {
+    "op4_exact_dedup": f"""
+        WITH d AS (SELECT doc_id, sha256({_BARE}) AS text_sha256, length(coalesce(text, '')) AS points
+                   FROM documents),
+             g AS (SELECT *, first_value(doc_id) OVER (
+                       PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
+                       count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
+        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g
+    """,
+    "op7_substring_dedup": """
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+                   FROM documents),
+             e AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS edge
+                   FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+             f AS (SELECT edge, min(doc_id) AS first FROM e GROUP BY edge HAVING min(doc_id) < max(doc_id)),
+             gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+                      FROM e JOIN f USING (edge) WHERE first < doc_id),
+             kept AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS text, count(*) AS n
+                      FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w) x
+                      ANTI JOIN gone ON x.doc_id = gone.doc_id AND x.i = gone.i GROUP BY x.doc_id)
+        SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+    """,
+}
