@@ -55,6 +55,15 @@ def with_facts(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "lef
     return joined.drop(*(f"__fact_{k}" for k in keys))
 
 
+def without(docs: DataFrame, gone: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``gone``; a row that repeats an id and its
+    text stays once. ``ids`` has the id of every row: texts are only shuffled to look for
+    repeated rows if an id repeats."""
+    left = with_facts(docs, gone, ["doc_id"], "left_anti")
+    repeated = ids.groupBy("doc_id").count().filter("count > 1")
+    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+
+
 def by_batch(
     make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

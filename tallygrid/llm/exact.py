@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import stored, with_facts, without_blanks
+from tallygrid.llm.common import stored, without, without_blanks
 from tallygrid.operators.spread import attach
 
 PREFIX = 64
@@ -92,8 +92,9 @@ def exact_copies(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, columns unchanged; of rows with one id, one."""
+    """The rows of ``docs`` that stay, columns unchanged; of rows that repeat an id and its
+    text, one."""
     candidates = stored(possible_copies(docs), "exact-candidates")
     found = attach(candidates, copy_groups(candidates), ["text_sha256"], "inner")
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id").distinct()
-    return with_facts(docs, gone, ["doc_id"], "left_anti").dropDuplicates(["doc_id"])
+    return without(docs, gone, candidates)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import by_batch, in_slices, stored, with_facts
+from tallygrid.llm.common import by_batch, in_slices, stored, with_facts, without
 from tallygrid.llm.components import components
 from tallygrid.llm.hashes import joined, lot_of, packed, shingles, split_by
 from tallygrid.operators.spread import attach
@@ -348,8 +348,8 @@ def linked_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that name their component, columns unchanged; of rows with one
-    id, one."""
-    found = linked_documents(docs, **how)
+    """The rows of ``docs`` that name their component, columns unchanged; of rows that
+    repeat an id and its text, one."""
+    found = stored(linked_documents(docs, **how), "jaccard-result")
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return with_facts(docs, gone, ["doc_id"], "left_anti").dropDuplicates(["doc_id"])
+    return without(docs, gone, found)

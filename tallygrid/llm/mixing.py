@@ -153,12 +153,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: a row of ``docs``, with its columns, for each copy taken, dealt
     out by shard and shuffled inside each. Where a quota's edge cuts a copy, its text is
-    the first words, joined by one space. Of rows with one id, one is kept."""
+    the first words, joined by one space. Rows that repeat an id are given as often as
+    they stand."""
     plan = mix(docs, **how)
     copies = plan.filter(F.size("shards") > 0).dropDuplicates(["doc_id"]).select(
         "doc_id", F.posexplode("shards").alias("__copy", "__shard"),
         (F.col("taken") - F.col("__copy") * F.col("size")).alias("__room"), F.col("size").alias("__size"))
-    rows = with_facts(docs.dropDuplicates(["doc_id"]), copies, ["doc_id"], "inner")
+    rows = with_facts(docs, copies, ["doc_id"], "inner")
     first = F.array_join(
         F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), F.lit(1), F.col("__room").cast("int")), " ")
     seed = how.get("seed", SEED)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.llm import counts, exact, jaccard, language, mixing, packing, quality, repeats, secrets
+from tallygrid.llm import counts, exact, jaccard, language, licences, mixing, packing, quality, repeats, secrets
 from tallygrid.llm.common import read_documents, stored
 
 HELD_OUT = 1  # the remainder of a document's id hash by 3 that is not learned from
@@ -21,6 +21,11 @@ def language_model(docs: DataFrame) -> language.Model:
     return language.fit(docs.filter(~F.coalesce(held_out(), F.lit(False))))
 
 
+def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_documents(spark, folder)
+    return licences.licences(docs, licences.learn(docs))
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_documents(spark, folder))
 
@@ -63,7 +68,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_mixing, op3_language, op4_exact_dedup, op5_token_counts, op6_packing, op7_substring_dedup, op8_secrets,
+        op1_licences, op2_mixing, op3_language, op4_exact_dedup, op5_token_counts, op6_packing, op7_substring_dedup, op8_secrets,
         op9_jaccard_join, op10_quality_rules)
 }
 _BARE = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
