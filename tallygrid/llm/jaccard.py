@@ -221,9 +221,13 @@ def _within_group(percent: int):
                 mine = min(mine, other)
         roots = np.array([find(i) for i in range(len(names))], dtype=np.int64)
         hub = np.lexsort((names, -links))[0]
+        is_hub = np.arange(len(names)) == hub
+        first = [t[: 8 * k] for t, k in zip(table["tokens"].to_pylist(), table["looked_up"].to_pylist(), strict=True)]
         return pa.table(
-            [table["class"], table["top"], table["chunk"], pa.array(names[roots]),
-             pa.array(np.arange(len(names)) == hub)], names=["class", "top", "chunk", "root", "hub"])
+            [table["class"], table["n"], table["top"], table["chunk"], table["chunks"], table["group"],
+             pa.array(names[roots]), pa.array(first, pa.binary()),
+             pa.array([t if h else None for t, h in zip(table["tokens"].to_pylist(), is_hub, strict=True)], pa.binary())],
+            names=["class", "n", "top", "chunk", "chunks", "group", "root", "first", "hub"])
 
     return run
 
@@ -275,53 +279,52 @@ def _candidates(docs: DataFrame, n_tokens: int, words: int, percent: int) -> Dat
 
 def class_links(possible: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(class, label): classes that links join have one label, one of those classes."""
-    light = possible.select("class", "n", "top")
-    chunks = light.groupBy("top").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
-    placed = attach(light, chunks, ["top"]).select(
-        "class", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk"))
-    grouped = stored(with_facts(possible, placed, ["class"]), "jaccard-groups")
-    inside = stored(grouped.groupBy("top", "chunk").applyInArrow(
-        _within_group(percent), "class long, top long, chunk int, root long, hub boolean"), "jaccard-inside")
+    chunks = possible.groupBy("top").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
+    placed = attach(possible.select("class", "top"), chunks, ["top"]).select(
+        "class", "chunks", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int").alias("chunk"))
+    grouped = stored(with_facts(possible, placed, ["class"]).withColumn(
+        "group", F.xxhash64("top", "chunk")), "jaccard-groups")
+    inside = stored(grouped.groupBy("group").applyInArrow(
+        _within_group(percent),
+        "class long, n long, top long, chunk int, chunks long, group long, root long, first binary, hub binary"),
+        "jaccard-inside")
 
     # Groups of the same top token meet at the hub of one of them.
-    hubs = inside.filter("hub").join(possible.select("class", "n", "tokens"), "class").select(
-        "top", "chunk", "root", "n", "tokens")
-    first = hubs.groupBy("top").agg(F.min_by(F.struct("root", "n", "tokens"), "chunk").alias("x")).select(
+    hubs = inside.filter("chunks > 1 and hub is not null").select(
+        "top", "chunk", "root", "n", F.col("hub").alias("tokens"))
+    centre = hubs.groupBy("top").agg(F.min_by(F.struct("root", "n", "tokens"), "chunk").alias("x")).select(
         "top", F.col("x.root").alias("root0"), F.col("x.n").alias("n0"), F.col("x.tokens").alias("tokens0"))
-    met = attach(hubs, first, ["top"]).filter("root <> root0").mapInArrow(
+    met = attach(hubs, centre, ["top"]).filter("root <> root0").mapInArrow(
         _same_hubs(percent), "root long, root0 long").dropDuplicates(["root"])
-    known = with_facts(inside.select("class", "top", "chunk", "root"), met, ["root"])
-    known = known.select("class", "top", "chunk", F.coalesce("root0", "root").alias("part"))
+    known = with_facts(inside.select("class", "n", "group", "root", "first"), met, ["root"])
+    known = known.select("class", "n", "group", "first", F.coalesce("root0", "root").alias("part"))
     sizes = known.groupBy("part").agg(F.count("*").alias("size"))
     parts = stored(attach(known, sizes, ["part"]), "jaccard-parts")
 
     # The matrix: which groups have a looked-up token, and what is in them.
-    full = stored(with_facts(grouped.drop("top", "chunk"), parts, ["class"]), "jaccard-full")
-    token = F.transform(F.sequence(F.lit(0).cast("long"), F.col("looked_up") - 1), lambda i: F.substring(
-        F.col("tokens"), (i * 8 + 1).cast("int"), F.lit(8)))
-    looked = full.select("class", "n", "top", "chunk", F.struct("size", "part").alias("rank"),
-                         F.explode(token).alias("token"))
-    matrix = looked.groupBy("token", "top", "chunk").agg(
-        F.max("rank").alias("most"), F.min("n").alias("n_least"), F.max("n").alias("n_most"))
-    matrix = matrix.withColumnsRenamed({"top": "to_top", "chunk": "to_chunk"})
-    lone = matrix.groupBy("token").agg(
-        F.count("*").alias("groups"), F.max("most").alias("best")).filter("groups > 1")
-    asking = attach(looked, lone, ["token"], "inner").filter("rank < best").select(
-        "token", "class", "n", "top", "chunk", "rank")
-    opened = asking.join(matrix, "token").filter(
-        (F.col("rank") < F.col("most")) & ~((F.col("top") == F.col("to_top")) & (F.col("chunk") == F.col("to_chunk")))
+    token = F.transform(F.sequence(F.lit(1), F.octet_length("first"), F.lit(8)), lambda i: F.substring(
+        F.col("first"), i, F.lit(8)))
+    looked = parts.select(F.explode(token).alias("token"), "class", "n", "group", "size", "part")
+    matrix = looked.groupBy("token", F.col("group").alias("to")).agg(
+        F.max(F.struct("size", "part")).alias("most"), F.min("n").alias("n_least"), F.max("n").alias("n_most"))
+    opened = looked.join(matrix, "token").filter(
+        (F.struct("size", "part") < F.col("most")) & (F.col("group") != F.col("to"))
         & (100 * F.col("n_most") >= percent * F.col("n")) & (percent * F.col("n_least") <= 100 * F.col("n")))
-    pairs = stored(opened.select("class", F.col("to_top").alias("top"), F.col("to_chunk").alias("chunk"))
-                   .distinct(), "jaccard-opened")
-    blocks = pairs.groupBy("top", "chunk").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = full.join(blocks, ["top", "chunk"]).select(
-        "top", "chunk", "n", "part", "tokens", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    queries = attach(pairs, blocks, ["top", "chunk"]).select(
-        "class", "top", "chunk", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
-    queries = attach(queries, full.select("class", "n", "part", "tokens"), ["class"])
+    pairs = stored(opened.select("class", F.col("to").alias("group")).distinct(), "jaccard-opened")
+
+    blocks = pairs.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    light = parts.select("class", "group", "part")
+    needed = attach(light, blocks, ["group"], "left_semi").unionByName(
+        attach(light, pairs.select("class").distinct(), ["class"], "left_semi")).distinct()
+    sets = stored(with_facts(grouped.select("class", "n", "tokens"), needed, ["class"], "inner"), "jaccard-sets")
+    members = attach(sets, blocks, ["group"], "inner").select(
+        "group", "n", "part", "tokens", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    queries = attach(pairs, blocks, ["group"]).select(
+        "class", "group", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
+    queries = attach(queries, sets.select("class", "n", "part", "tokens"), ["class"])
     queries = queries.toDF(*queries.columns)  # apart from the members, which come from the same table
-    keys = ["top", "chunk", "block"]
-    links = members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(_across(percent), "a long, b long")
+    links = members.groupBy("group", "block").cogroup(queries.groupBy("group", "block")).applyInArrow(
+        _across(percent), "a long, b long")
     merged = components(links).select(F.col("a").alias("part"), F.col("b").alias("label"))
     return attach(parts, merged, ["part"]).select("class", F.coalesce("label", "part").alias("label"))
 
