@@ -1,10 +1,11 @@
 """Sums, means and ratios whose result does not depend on how rows are spread.
 
 Adding doubles gives a different last digit for every partitioning and every
-retried task. Amounts are therefore counted in whole millionths. Each amount is
-split into a high and a low part, both summed as plain longs (no big-number
-arithmetic per row, and no overflow below about 8e12 rows), and the two sums
-are put together once per group.
+retried task. Amounts that are whole millionths are therefore counted in
+millionths, in three longs of 21 bits a row, which no number of rows below 4e12
+overflows and which are put together once per group. All other amounts (more
+digits, above 9e12, infinite or not a number) are summed as plain doubles beside
+them; a total with such amounts can differ in its last digits between runs.
 """
 
 from __future__ import annotations
@@ -13,28 +14,58 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
-LOW_BITS = 20
+PART_BITS = 21
+LARGEST = 9.0e12
+SLACK = 1e-14  # noise of earlier arithmetic that still counts as whole
 
 
 def column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _whole(c: Column) -> Column:
+    """Whether the amount is whole millionths, up to the noise of double arithmetic."""
+    scaled = c * F.lit(float(MICROS))
+    near = F.abs(F.rint(scaled) - scaled) <= F.abs(scaled) * F.lit(SLACK)
+    return (F.abs(c) < F.lit(LARGEST)) & near
+
+
 def exact_total(c: Column | str, times: Column | str | None = None) -> Column:
-    """Sum of ``c`` as a decimal with six places; ``times`` counts each value that often."""
-    micros = F.rint(column(c) * F.lit(float(MICROS))).cast("bigint")
-    high = F.shiftright(micros, LOW_BITS)
-    low = micros.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
+    """Sum of the amounts in ``c`` that are whole millionths, as a decimal with six
+    places; ``times`` counts each value that often."""
+    amount = column(c).cast("double")
+    micros = F.when(_whole(amount), F.rint(amount * F.lit(float(MICROS)))).cast("bigint")
+    mask = F.lit((1 << PART_BITS) - 1).cast("bigint")
+    parts = [
+        F.shiftright(micros, 2 * PART_BITS),
+        F.shiftright(micros, PART_BITS).bitwiseAND(mask),
+        micros.bitwiseAND(mask),
+    ]
     if times is not None:
-        high, low = high * column(times), low * column(times)
+        parts = [p * column(times) for p in parts]
     # Precisions are chosen so that no step can lose or overflow digits.
-    step = F.lit(1 << LOW_BITS).cast("decimal(7,0)")
-    total = F.sum(high).cast("decimal(19,0)") * step + F.sum(low).cast("decimal(19,0)")
-    return total * F.lit("0.000001").cast("decimal(6,6)")
+    high, middle, low = (F.sum(p).cast("decimal(19,0)") for p in parts)
+    total = (high * F.lit(1 << 2 * PART_BITS).cast("decimal(13,0)")
+             + middle * F.lit(1 << PART_BITS).cast("decimal(7,0)") + low)
+    return total.cast("decimal(31,0)") * F.lit("0.000001").cast("decimal(6,6)")
+
+
+def other_total(c: Column | str, times: Column | str | None = None) -> Column:
+    """Sum of the amounts that ``exact_total`` leaves out, as a double; null without any."""
+    amount = column(c).cast("double")
+    if times is not None:
+        return F.sum(F.when(~_whole(amount), amount * column(times)))
+    return F.sum(F.when(~_whole(amount), amount))
+
+
+def put_together(exact: Column | str, other: Column | str) -> Column:
+    """A total as a double from its two parts."""
+    exact, other = column(exact).cast("double"), column(other)
+    return F.when(other.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + other)
 
 
 def exact_sum(c: Column | str) -> Column:
-    return exact_total(c).cast("double")
+    return put_together(exact_total(c), other_total(c))
 
 
 def exact_mean(c: Column | str) -> Column:

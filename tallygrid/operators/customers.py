@@ -85,38 +85,19 @@ def customer_cohort(sales: DataFrame, key: str = "customer_name",
     )
 
 
-def customer_affinity(sales: DataFrame, key: str = "customer_name",
-                      part_size: int = 10_000) -> DataFrame:
-    """The products each customer bought, one entry per purchase, in name order.
-
-    A customer with up to ``part_size`` purchases has one row (part 0). Larger
-    ones are spread over several parts of about that size, so that no list grows
-    with the data and none is cut: together the parts hold every purchase.
-    ``product_count`` is the customer's total in every part.
-    """
-    run = max(part_size // 16, 1)
-    bought = sales.groupBy(key, "product_name").agg(F.count("product_name").alias("n"))
-    totals = bought.groupBy(key).agg(F.sum("n").alias("product_count"))
-    last_run = F.greatest(F.floor((F.col("n") - 1) / run), F.lit(0))
-    runs = (
-        attach(bought, totals, [key])
-        .where((F.col("n") > 0) | (F.col("product_count") == 0))
-        .withColumn("run", F.explode(F.sequence(F.lit(0), last_run)))
-        .withColumn("length", F.least(F.lit(run), F.col("n") - F.col("run") * run).cast("int"))
-    )
-    parts = F.greatest(F.ceil(F.col("product_count") / part_size), F.lit(1))
-    entries = F.array_repeat("product_name", F.col("length"))
-    return (
-        runs.withColumn("part", F.pmod(F.xxhash64("product_name", "run"), parts))
-        .groupBy(key, "part", "product_count")
-        .agg(F.array_sort(F.flatten(F.collect_list(entries))).alias("products_bought"))
-        .select(key, "part", "products_bought", "product_count")
-    )
+def customer_affinity(sales: DataFrame, key: str = "customer_name") -> DataFrame:
+    """How often each customer bought each product, a row for each of the two, beside
+    the customer's purchases in all (``product_count``, sales without a product not
+    counted)."""
+    bought = sales.groupBy(key, "product_name").agg(
+        rows().alias("times_bought"), F.count("product_name").alias("__known"))
+    totals = bought.groupBy(key).agg(F.sum("__known").alias("product_count"))
+    return attach(bought.drop("__known"), totals, [key])
 
 
 def customer_product_counts(sales: DataFrame, key: str = "customer_name") -> DataFrame:
-    """The same facts without lists: how often each customer bought each product."""
-    return sales.groupBy(key, "product_name").agg(rows().alias("times_bought"))
+    """``customer_affinity`` without the totals."""
+    return customer_affinity(sales, key).drop("product_count")
 
 
 def customer_features(sales: DataFrame, as_of: dt.date | str | None = None,

@@ -46,9 +46,11 @@ def doc_category_sales(docs: DataFrame, unknown: str = "Unknown") -> DataFrame:
 
 def doc_recent_sales(docs: DataFrame, as_of: dt.date | str | None = None, days: int = 30,
                      n: int = 20) -> DataFrame:
-    """The newest documents of the last ``days`` days."""
+    """The newest documents of the last ``days`` days, equal days by id and then by content."""
     since = F.date_sub(day(as_of), days)
-    return docs.where(F.col("sale_date") >= since).orderBy(F.desc("sale_date"), "_id").limit(n)
+    return docs.where(F.col("sale_date") >= since).orderBy(
+        F.desc("sale_date"), "_id", "sale_info.total_amount", "product.category", "location.region",
+        "customer.id").limit(n)
 
 
 def doc_top_customers(customers: DataFrame, n: int = 10) -> DataFrame:

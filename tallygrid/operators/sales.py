@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrid.functions.dates import weekday_name, year_month
-from tallygrid.functions.money import exact_mean, exact_sum, exact_total, ratio, rows
+from tallygrid.functions.money import (
+    exact_mean,
+    exact_sum,
+    exact_total,
+    other_total,
+    put_together,
+    ratio,
+    rows,
+)
 from tallygrid.functions.text import whole_text
 from tallygrid.operators.spread import attach, standings
 
@@ -125,10 +133,12 @@ def basket_analysis(sales: DataFrame, edges: tuple[int, int] = (1, 2),
         exact_sum("total_amount").alias("revenue_contribution"),
         exact_mean("total_amount").alias("avg_transaction_value"),
         exact_total("total_amount").alias("exact"),
+        other_total("total_amount").alias("other"),
     )
-    everything = F.sum("exact").over(Window.partitionBy()).cast("double")
+    everyone = Window.partitionBy()
+    everything = put_together(F.sum("exact").over(everyone), F.sum("other").over(everyone))
     share = ratio(F.col("revenue_contribution") * 100.0, everything)
-    return stats.withColumn("revenue_percentage", share).drop("exact")
+    return stats.withColumn("revenue_percentage", share).drop("exact", "other")
 
 
 def sales_executive_line(sales: DataFrame, title: str = EXECUTIVE_TITLE,
@@ -197,10 +207,12 @@ def sales_running_total(sales: DataFrame, amounts: DataFrame | None = None) -> D
     date and amount of the same sales from a cheaper source.
     """
     amounts = sales if amounts is None else amounts
-    day_key = F.col("sale_date").cast("date")
-    per_day = amounts.groupBy(day_key.alias("__day")).agg(exact_total("total_amount").alias("__t"))
+    day_key = F.col("sale_date").try_cast("date")
+    per_day = amounts.groupBy(day_key.alias("__day")).agg(
+        exact_total("total_amount").alias("__t"), other_total("total_amount").alias("__o"))
     up_to = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
-    so_far = per_day.select("__day", F.sum("__t").over(up_to).cast("double").alias("running_total"))
+    total = put_together(F.sum("__t").over(up_to), F.sum("__o").over(up_to))
+    so_far = per_day.select("__day", total.alias("running_total"))
     return sales.join(
         F.broadcast(so_far), day_key.eqNullSafe(F.col("__day")), "left"
     ).drop("__day")
@@ -223,34 +235,39 @@ def geographic_analysis(sales: DataFrame, key: str = "customer_name",
     rank within the category. The windows run over the aggregate only."""
     cells = sales.groupBy("region", "category").agg(
         exact_total("total_amount").alias("exact"),
+        other_total("total_amount").alias("other"),
         rows().alias("transactions"),
         distinct_count(key, approximate).alias("unique_customers"),
         exact_mean("total_amount").alias("avg_transaction"),
     )
-    in_region = F.sum("exact").over(Window.partitionBy("region"))
-    within = Window.partitionBy("category").orderBy(F.desc("exact"))
+    region = Window.partitionBy("region")
+    in_region = put_together(F.sum("exact").over(region), F.sum("other").over(region))
+    within = Window.partitionBy("category").orderBy(F.desc("revenue"))
+    cells = cells.withColumn("revenue", put_together("exact", "other"))
     return cells.select(
         "region",
         "category",
-        F.col("exact").cast("double").alias("revenue"),
+        "revenue",
         "transactions",
         "unique_customers",
         "avg_transaction",
-        ratio("exact", in_region).alias("market_share"),
+        ratio("revenue", in_region).alias("market_share"),
         F.rank().over(within).alias("region_rank"),
     )
 
 
 def _region_category_cells(sales: DataFrame) -> DataFrame:
     return sales.groupBy("region", "category").agg(
-        exact_total("total_amount").alias("exact"), rows().alias("cell_rows")
+        exact_total("total_amount").alias("exact"),
+        other_total("total_amount").alias("other"),
+        rows().alias("cell_rows"),
     )
 
 
 def _grouping_totals(grouped) -> DataFrame:
     return grouped.agg(
         F.grouping_id().alias("gid"),
-        F.sum("exact").cast("double").alias("revenue"),
+        put_together(F.sum("exact"), F.sum("other")).alias("revenue"),
         F.sum("cell_rows").alias("n"),
     ).select("region", "category", "gid", "revenue", "n")
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrid.functions.money import exact_total, ratio, rows
+from tallygrid.functions.money import exact_total, other_total, put_together, ratio, rows
 
 
 def attach(df: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -60,6 +60,7 @@ def standings(df: DataFrame, group: str, value: str, slots_per_octave: int = 128
     per_slot = counted.groupBy(group, "__slot").agg(
         F.sum("__n").alias("__slot_n"),
         exact_total(value, times="__n").alias("__slot_total"),
+        other_total(value, times="__n").alias("__slot_other"),
         F.sum(F.when(F.col(value).isNotNull(), F.col("__n"))).alias("__slot_known"),
     )
     whole_group = Window.partitionBy(group)
@@ -69,7 +70,8 @@ def standings(df: DataFrame, group: str, value: str, slots_per_octave: int = 128
         "__slot",
         (F.sum("__slot_n").over(up_to) - F.col("__slot_n")).alias("__earlier"),
         F.sum("__slot_n").over(whole_group).alias("__group_n"),
-        ratio(F.sum("__slot_total").over(whole_group), F.sum("__slot_known").over(whole_group)).alias(
+        ratio(put_together(F.sum("__slot_total").over(whole_group),
+                           F.sum("__slot_other").over(whole_group)), F.sum("__slot_known").over(whole_group)).alias(
             "__group_mean"
         ),
     )

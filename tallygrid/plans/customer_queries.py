@@ -79,12 +79,11 @@ def _(star):
 
 
 @query("customer_affinity", over("""
-SELECT customer_name, 0::bigint AS part, count(product_name) AS product_count,
-       array_to_string(list_sort(list(product_name)), '|') AS products_bought
-FROM sales GROUP BY customer_name"""))
+SELECT customer_name, product_name, count(*) AS times_bought,
+       sum(count(product_name)) OVER (PARTITION BY customer_name)::bigint AS product_count
+FROM sales GROUP BY customer_name, product_name"""))
 def _(star):
-    lists = ops.customer_affinity(star.sales("customer_name", "product_name"))
-    return lists.withColumn("products_bought", F.array_join("products_bought", "|"))
+    return ops.customer_affinity(star.sales("customer_name", "product_name"))
 
 
 @query("customer_product_counts", over("""

@@ -52,23 +52,22 @@ def flat(df):
 
 
 FLAT = "_id, transaction_id, category, total_amount, region, customer_id, sale_date"
-FLAT_COLUMNS = ("category", "total_amount", "region", "sale_date")
+FLAT_COLUMNS = ("category", "total_amount", "region", "sale_date", "customer_id")
 
 
 @query("doc_recent_sales", over(f"""
 SELECT {FLAT} FROM docs WHERE sale_date >= date '{AS_OF}' - 30
-ORDER BY sale_date DESC, _id LIMIT 20"""))
+ORDER BY sale_date DESC, _id, total_amount NULLS FIRST, category NULLS FIRST,
+         region NULLS FIRST, customer_id NULLS FIRST LIMIT 20"""))
 def _(star):
     return flat(ops.doc_recent_sales(star.documents(*FLAT_COLUMNS), as_of=AS_OF))
 
 
 @query("doc_find", over(f"""
-SELECT {FLAT} FROM docs WHERE region = 'ASIA' AND total_amount > 50000
-ORDER BY _id, total_amount LIMIT 100"""))
+SELECT {FLAT} FROM docs WHERE region = 'ASIA' AND total_amount > 50000"""))
 def _(star):
     wanted = (F.col("location.region") == "ASIA") & (F.col("sale_info.total_amount") > 50000)
-    return flat(tables.find(star.documents(*FLAT_COLUMNS), wanted, 100,
-                            order=("_id", F.col("sale_info.total_amount"))))
+    return flat(tables.find(star.documents(*FLAT_COLUMNS), wanted))
 
 
 @query("doc_top_customers", over("""

@@ -23,8 +23,8 @@ def staff(star: Star, *columns: str):
 
 AGE_BAND = """CASE WHEN age < 30 THEN 'Young (< 30)' WHEN age < 40 THEN 'Middle (30-39)'
   WHEN age >= 40 THEN 'Senior (40+)' END"""
-SALARY_BAND = """CASE WHEN salary < 2000 THEN 'Low (< 60K)' WHEN salary < 6000 THEN 'Medium (60K-80K)'
-  WHEN salary >= 6000 THEN 'High (80K+)' END"""
+SALARY_BAND = """CASE WHEN salary < 2000 THEN 'Low (< 2K)' WHEN salary < 6000 THEN 'Medium (2K-6K)'
+  WHEN salary >= 6000 THEN 'High (6K+)' END"""
 ODD_ROW = "salary < 0 OR salary > 9500 OR age < 18 OR age > 70"
 
 
@@ -66,7 +66,8 @@ SELECT {SALARY_BAND} AS salary_bracket, count(*) AS count, {mean('salary')} AS a
        {int_mean('age')} AS avg_age
 FROM emp GROUP BY 1"""))
 def _(star):
-    return emp.emp_salary_brackets(staff(star, "salary", "age"), edges=SALARY_EDGES)
+    return emp.emp_salary_brackets(staff(star, "salary", "age"), edges=SALARY_EDGES,
+                                   labels=("Low (< 2K)", "Medium (2K-6K)", "High (6K+)"))
 
 
 @query("emp_status", over(f"""

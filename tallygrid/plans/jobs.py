@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from tallygrid.operators import customers, documents, employees, report, sales
-from tallygrid.session import session, sized_for
+from tallygrid.session import input_bytes, session, sized_for
 from tallygrid.sources import schemas, sinks, tables
 
 # The folder names of the reports.
@@ -92,11 +92,14 @@ def main(arguments: list[str] | None = None) -> None:
     options.add_argument("--out", required=True, help="folder for the reports")
     options.add_argument("--as-of", help="reference day, yyyy-MM-dd; today without it")
     options.add_argument("--one-file", action="store_true", help="one file per report")
-    options.add_argument("--input-gb", type=int, help="rough input size, to size shuffles by")
+    options.add_argument("--input-gb", type=int, help="input size to size shuffles by; that of the files without it")
     given = options.parse_args(arguments)
 
-    size = sized_for(given.input_gb << 30) if given.input_gb else None
-    spark = session("reports", settings=size)
+    spark = session("reports")
+    paths = [p for p in (given.employees, given.sales, given.documents) if p]
+    size = given.input_gb << 30 if given.input_gb else input_bytes(spark, *paths)
+    for name, value in sized_for(size).items():
+        spark.conf.set(name, value)
     emp = employees.emp_clean(tables.read_employees(spark, given.employees))
     text_sales = sales.sales_clean(tables.read_sales(spark, given.sales, header=False))
     sold = tables.read_sales(spark, given.sales)

@@ -47,13 +47,14 @@ WITH sales AS (
          salesperson
   FROM sales
 ), cust AS (
-  SELECT 'K' || c_custkey AS _id, c_custkey::varchar AS customer_id, c_name AS name,
+  SELECT 'K' || CASE WHEN c_acctbal < 0 THEN 'X' ELSE '' END || c_custkey AS _id,
+         CASE WHEN c_acctbal < 0 THEN 'X' ELSE '' END || c_custkey AS customer_id, c_name AS name,
          'c' || (CASE WHEN c_custkey % 97 = 1 THEN c_custkey - c_custkey % 194
                  ELSE c_custkey END) || '@example.com' AS email,
          CASE c_custkey % 4 WHEN 0 THEN 'Bronze' WHEN 1 THEN 'Silver'
               WHEN 2 THEN 'Gold' ELSE 'Platinum' END AS loyalty_tier,
          c_acctbal AS total_spent, (c_custkey % 50)::int AS total_orders
-  FROM customer WHERE c_acctbal >= 0
+  FROM customer
   UNION ALL
   SELECT 'KS' || s_suppkey, 'S' || s_suppkey, s_name, 'S' || s_suppkey || '@example.com',
          'Bronze', 0::double, 0 FROM supplier

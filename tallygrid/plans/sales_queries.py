@@ -79,16 +79,17 @@ def _(star):
 
 
 @query("basket_analysis", over(f"""
-SELECT CASE WHEN quantity = 10 THEN 'Single Item'
-            WHEN quantity <= 25 THEN 'Small Basket (2 items)'
-            WHEN quantity > 25 THEN 'Large Basket (3+ items)' END AS basket_size,
+SELECT CASE WHEN quantity = 10 THEN 'Ten Items'
+            WHEN quantity <= 25 THEN 'Up to 25 Items'
+            WHEN quantity > 25 THEN 'Over 25 Items' END AS basket_size,
        count(*) AS transaction_count, {total('total_amount')} AS revenue_contribution,
        {mean('total_amount')} AS avg_transaction_value,
        {total('total_amount')} * 100.0::double
          / sum(sum(total_amount::decimal(18,2))) OVER () ::double AS revenue_percentage
 FROM sales GROUP BY 1"""))
 def _(star):
-    return ops.basket_analysis(star.sales("quantity", "total_amount"), edges=(10, 25))
+    return ops.basket_analysis(star.sales("quantity", "total_amount"), edges=(10, 25),
+                               labels=("Ten Items", "Up to 25 Items", "Over 25 Items"))
 
 
 @query("sales_executive_line", over(f"""

@@ -121,7 +121,7 @@ def _(star):
 
 @query("format_columns", over("""
 WITH sized AS (
-SELECT o_totalprice, o_orderkey, (o_custkey * o_orderkey * 100000)::double AS s FROM orders)
+SELECT o_totalprice, o_orderkey, o_custkey::double * o_orderkey * 100000 AS s FROM orders)
 SELECT printf('$%.2f', o_totalprice) AS plain_money,
        '$' || format('{:,.2f}', o_totalprice) AS grouped_money,
        format('{:,}', o_orderkey) AS grouped_number,
@@ -129,11 +129,12 @@ SELECT printf('$%.2f', o_totalprice) AS plain_money,
             WHEN s / 1024 < 1024 THEN printf('%.2f KB', s / 1024)
             WHEN s / 1048576 < 1024 THEN printf('%.2f MB', s / 1048576)
             WHEN s / 1073741824 < 1024 THEN printf('%.2f GB', s / 1073741824)
-            ELSE printf('%.2f TB', s / 1099511627776) END AS byte_size
+            WHEN s / 1099511627776 < 1024 THEN printf('%.2f TB', s / 1099511627776)
+            ELSE printf('%.2f PB', s / 1125899906842624) END AS byte_size
 FROM sized"""))
 def _(star):
     orders = star.table("orders").withColumn(
-        "size", F.col("o_custkey") * F.col("o_orderkey") * 100000)
+        "size", F.col("o_custkey").cast("double") * F.col("o_orderkey") * 100000)
     return report.format_columns(orders, "o_totalprice", "o_orderkey", "size")
 
 

@@ -35,13 +35,12 @@ class Star:
         return self._tables[name]
 
     def _nations(self, regions: bool = False) -> DataFrame:
-        """25 nations, on request with their region. The benchmark fixes their number
-        at every scale, so broadcasting them needs no further check."""
+        """Nations, on request with their region."""
         nation = self.table("nation")
         if regions:
-            region = F.broadcast(self.table("region"))
+            region = self.table("region")
             nation = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        return F.broadcast(nation)
+        return nation
 
     def _orders(self, wanted: set[str]) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -75,6 +74,9 @@ class Star:
                 F.col("l_linenumber").cast("string"),
                 F.col("l_partkey").cast("string"),
             ),
+            "order_key": lambda: F.col("l_orderkey"),
+            "line_key": lambda: F.col("l_linenumber"),
+            "part_key": lambda: F.col("l_partkey"),
             "product_id": lambda: F.col("l_partkey").cast("string"),
             "product_name": lambda: F.col("p_name"),
             "category": lambda: F.col("p_type"),
@@ -134,11 +136,11 @@ class Star:
         ``columns`` are the flat sales columns the documents need; the fields of
         the others are null.
         """
-        needed = list(dict.fromkeys((*(columns or SALES_COLUMNS), "transaction_id", "customer_id")))
+        needed = list(dict.fromkeys((*(columns or SALES_COLUMNS), "transaction_id")))
         absent = {f.name: F.lit(None).cast(f.dataType) for f in schemas.SALES if f.name not in needed}
-        flat = self.sales(*needed).withColumns(absent) if absent else self.sales(*needed)
-        keys = F.split(F.substring("transaction_id", 2, 60), "-")
-        order, line, part = (keys[i].cast("bigint") for i in range(3))
+        keys = ("order_key", "line_key", "part_key")
+        flat = self.sales(*needed, *keys).withColumns(absent) if absent else self.sales(*needed, *keys)
+        order, line, part = (F.col(k) for k in keys)
         money = F.col("total_amount")
         stamp = F.col("sale_date").cast("timestamp")
         nothing = F.lit(None).cast("string")
@@ -186,13 +188,15 @@ class Star:
         )
 
     def customer_documents(self) -> DataFrame:
-        """Customers whose account is not in debt, and suppliers as prospects: some
-        sales have no document, some documents no sale. Some share an address."""
+        """Customers and suppliers. Customers in debt have another id here, and suppliers
+        buy nothing: some sales have no document, some documents no sale. Some share an
+        address."""
         customer, supplier = self.table("customer"), self.table("supplier")
         key = F.col("c_custkey")
         shared = F.when(key % 97 == 1, key - key % 194).otherwise(key)
-        people = customer.where(F.col("c_acctbal") >= 0).select(
-            key.cast("string").alias("customer_id"),
+        own = key.cast("string")
+        people = customer.select(
+            F.when(F.col("c_acctbal") < 0, F.concat(F.lit("X"), own)).otherwise(own).alias("customer_id"),
             F.col("c_name").alias("name"),
             F.concat(F.lit("c"), shared.cast("string"), F.lit("@example.com")).alias("email"),
             F.element_at(

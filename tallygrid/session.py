@@ -19,26 +19,27 @@ SETTINGS = {
 }
 
 
-MB, TB = 1 << 20, 1 << 40
+MB = 1 << 20
 
 
 def sized_for(data_bytes: int) -> dict[str, str]:
-    """Settings for an input of that many bytes.
-
-    Shuffles start with partitions of about 512 MB of input, which adaptive execution
-    joins up where less arrives. There are never more than 50,000: above that, keeping
-    track of map outputs costs more than letting larger partitions spill. Very large
-    inputs are also read in larger pieces, to keep the number of map tasks down.
-    """
-    partitions = min(max(data_bytes // (512 * MB), 200), 50_000)
-    piece = 128 * MB if data_bytes < 10 * TB else 512 * MB
+    """Settings for an input of that many bytes: shuffles start with partitions of about
+    512 MB of input, which adaptive execution joins up where less arrives."""
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(piece),
+        "spark.sql.shuffle.partitions": str(max(-(-data_bytes // (512 * MB)), 200)),
+        "spark.sql.files.maxPartitionBytes": str(128 * MB),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
     }
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of files and folders, from the file system's own listing."""
+    context = spark.sparkContext
+    found = (context._jvm.org.apache.hadoop.fs.Path(p) for p in paths)
+    conf = context._jsc.hadoopConfiguration()
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in found)
+
+
 def session(app: str = "tallygrid", master: str | None = None,
             settings: Mapping[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

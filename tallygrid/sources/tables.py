@@ -58,19 +58,14 @@ def read_collection(
     return reader.load(path) if path is not None else reader.load()
 
 
-def inline_rows(spark: SparkSession, values: list[tuple], names: list[str] | str) -> DataFrame:
-    """A small literal table."""
-    return spark.createDataFrame(values, names)
-
-
 def find(
     docs: DataFrame,
     where: Column | None = None,
-    n: int | None = 100,
+    n: int | None = None,
     id_column: str = "_id",
     order: tuple[Column | str, ...] = (),
 ) -> DataFrame:
-    """Matching documents with a text id, at most ``n`` of them; None returns all."""
+    """Matching documents with a text id; all of them, or the first ``n``."""
     out = docs if where is None else docs.where(where)
     if order:
         out = out.orderBy(*order)

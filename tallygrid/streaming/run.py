@@ -15,7 +15,7 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 END_OF_TIME = dt.datetime(9000, 1, 1)
 
 
-def drain(stream: DataFrame, out: str, checkpoint: str, timeout: int = 7200,
+def drain(stream: DataFrame, out: str, checkpoint: str, timeout: int | None = None,
           partitions: int | None = None) -> None:
     """Process everything the source holds now, append it to ``out`` and stop.
 
@@ -40,7 +40,9 @@ def drain(stream: DataFrame, out: str, checkpoint: str, timeout: int = 7200,
             .format("parquet")
             .start(out)
         )
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             query.stop()
             raise TimeoutError(f"stream not drained within {timeout} s")
     finally:

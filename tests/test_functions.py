@@ -98,3 +98,18 @@ def test_exact_total_of_any_cents(spark, cents):
     total = df.agg(money.exact_total("x").alias("t")).first()["t"]
     micros = sum(round(c / 100 * 1_000_000) for c in cents)
     assert int(total.scaleb(6)) == micros
+
+
+@pytest.mark.parametrize("amounts,total", [
+    ([1.5, float("inf")], float("inf")), ([1e13, 1e13, 0.25], 2e13 + 0.25), ([1e-7] * 1000, 1e-4),
+    ([float("inf"), float("-inf")], float("nan")), ([float("nan"), 2.0], float("nan")),
+    ([None, None], None), ([None, 1e300], 1e300), ([0.1 + 0.2], 0.3)])
+def test_exact_sum_of_any_double(spark, amounts, total):
+    df = spark.createDataFrame([(x,) for x in amounts], "x double")
+    got = df.agg(money.exact_sum("x").alias("s")).first()["s"]
+    assert got == total if total is None else got == pytest.approx(total, rel=1e-12, nan_ok=True)
+
+
+def test_exact_sum_of_many_large_amounts(spark):
+    df = spark.range(3_000_000).select(F.lit(8.9e12).alias("x"))
+    assert df.agg(money.exact_sum("x").alias("s")).first()["s"] == 3_000_000 * 8.9e12

@@ -83,25 +83,20 @@ def test_views_profile_and_samples(spark, make_emp, rows_of):
     assert tables.collection_samples({"a": df}, order="id").count() == 3
     assert tables.preview(df, 2, order=("id",)).count() == 2
     assert rows_of(tables.map_double(df, "age")) == [(35, 70)] * 4
-    assert rows_of(tables.inline_rows(spark, [(1, "a")], ["n", "s"])) == [(1, "a")]
 
 
-def test_scratch_uses_the_named_folder_and_never_a_local_one_on_a_cluster(spark):
+def test_scratch_uses_the_named_folder_else_the_warehouse(spark):
     base = spark.conf.get(scratch.SETTING)
     assert scratch.fresh_folder(spark, "x").startswith(base)
 
-    class Conf:
-        def __init__(self, **values):
-            self.values = values
-
+    class Conf(dict):
         def get(self, name, default=None):
-            return self.values.get(name, default)
+            return dict.get(self, name, default)
 
     class Cluster:
-        conf = Conf(**{"spark.master": "yarn"})
+        conf = Conf({"spark.master": "yarn", "spark.sql.warehouse.dir": "hdfs://store/tables"})
 
-    with pytest.raises(RuntimeError, match=scratch.SETTING):
-        scratch.shared_base(Cluster())
+    assert scratch.shared_base(Cluster()) == "hdfs://store/tables/scratch"
 
 
 def test_schemas_cover_the_documents():
