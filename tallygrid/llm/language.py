@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallygrid.llm.common import by_batch, in_slices
 
 UNKNOWN = "und"
-LEARNED_PER_LANGUAGE = 4000  # documents; all of a language that has fewer
+LEARNED_PER_LANGUAGE = 1000  # documents; all of a language that has fewer
 LANGUAGES = 1000
 ENTRIES = 200_000  # words and n-grams that the model holds, shared by the languages
 LONGEST = 5
