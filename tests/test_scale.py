@@ -102,7 +102,7 @@ def test_running_total_has_no_global_window_over_sales(hot_sales):
     assert "transaction_id" not in below_window.split("HashAggregate")[0]
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries() if not WRITES.match(n)))
+@pytest.mark.parametrize("name", sorted(n for n in load() if not WRITES.match(n)))
 def test_plan_has_no_cross_join_and_no_python(spark, name):
     text = plan(queries()[name](spark, FOLDER))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas",
