@@ -54,23 +54,42 @@ class Model:
                 return self.scores[known].mean(axis=0)
         return np.zeros(len(self.languages), dtype=np.float32)
 
-    def predict(self, text: str | None, cache: dict[str, np.ndarray]) -> tuple[str, float]:
+
+class Scorer:
+    """Predicts with a model, and keeps the scores of words met, up to ``CACHED`` of them."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.table = np.concatenate(
+            [model.scores, np.zeros((CACHED, len(model.languages)), dtype=np.float32)])
+        self.met: dict[str, int] = {}
+
+    def _row(self, word: str) -> int:
+        row = self.model.rows.get(word)
+        if row is None:
+            row = len(self.model.scores) + len(self.met)
+            self.table[row] = self.model.of_unseen(word)
+            self.met[word] = row
+        return row
+
+    def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text) if text else []
-        if not words or not self.languages:
+        if not words or not self.model.languages:
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.languages))
-        for word, times in Counter(words).items():
-            scores = cache.get(word)
-            if scores is None:
-                row = self.rows.get(word)
-                scores = self.of_unseen(word) if row is None else self.scores[row]
-                if len(cache) >= CACHED:
-                    cache.clear()
-                cache[word] = scores
-            total += scores * times
+        counts = Counter(words)
+        if len(self.met) + len(counts) > CACHED:
+            self.met.clear()
+        total = np.zeros(len(self.model.languages))
+        known, names, times = self.met.get, list(counts), np.fromiter(counts.values(), dtype=np.float64)
+        for i in range(0, len(names), CACHED):
+            if len(self.met) + min(CACHED, len(names) - i) > CACHED:
+                self.met.clear()
+            part = names[i : i + CACHED]
+            rows = [known(w) or self._row(w) for w in part]
+            total += times[i : i + len(part)] @ self.table[rows]
         chances = np.exp(total - total.max())
         best = int(total.argmax())
-        return self.languages[best], float(chances[best] / chances.sum())
+        return self.model.languages[best], float(chances[best] / chances.sum())
 
 
 def _counted(batches):
@@ -145,11 +164,11 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        model, cache = shared.value, {}
+        scorer = Scorer(shared.value)
 
         def each(batch):
             for part in in_slices(batch, "text", 1 << 24):
-                found = [model.predict(t, cache) for t in part["text"].to_pylist()]
+                found = [scorer.predict(t) for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.array([x for x, _ in found], pa.string()),
                      pa.array([x for _, x in found], pa.float64())],
@@ -167,11 +186,11 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        model, cache = shared.value, {}
+        scorer = Scorer(shared.value)
 
         def each(batch):
             for part in in_slices(batch, "text", 1 << 24):
-                langs = [model.predict(t, cache)[0] for t in part["text"].to_pylist()]
+                langs = [scorer.predict(t)[0] for t in part["text"].to_pylist()]
                 yield part.filter(pa.array([x != UNKNOWN for x in langs]))
 
         return each
