@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrid.llm.common import by_batch, in_slices
@@ -21,6 +21,7 @@ UNKNOWN = "und"
 LEARNED_PER_LANGUAGE = 1000  # documents; all of a language that has fewer
 LANGUAGES = 1000
 ENTRIES = 200_000  # words and n-grams that the model holds, shared by the languages
+WORDS = 20_000  # of each language, the most frequent, that n-grams are learned from
 LONGEST = 5
 CACHED = 300_000
 
@@ -30,7 +31,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def words_of(text: str) -> list[str]:
     """Runs of letters in lower case."""
     found = _LETTERS.findall(text.lower())
-    return found if text.isascii() else [w for w in found if any(c.isalpha() for c in w)]
+    return found if text.isascii() else [w for w in found if w.isalpha() or any(c.isalpha() for c in w)]
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -51,7 +52,7 @@ class Model:
         for n in range(LONGEST, 0, -1):
             known = [r for g in _grams(word, n) if (r := self.rows.get(f"{n}{g}")) is not None]
             if known:
-                return self.scores[known].mean(axis=0)
+                return np.add.reduce(self.scores.take(known, axis=0)) / len(known)
         return np.zeros(len(self.languages), dtype=np.float32)
 
 
@@ -60,16 +61,22 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.table = np.concatenate(
-            [model.scores, np.zeros((CACHED, len(model.languages)), dtype=np.float32)])
-        self.met: dict[str, int] = {}
+        # Row 0 is left blank, so that a row found is never false.
+        blank = np.zeros((1 + CACHED, len(model.languages)), dtype=np.float32)
+        self.table = np.concatenate([blank[:1], model.scores, blank[1:]])
+        self.words = {w: row + 1 for w, row in model.rows.items() if not w[0].isdecimal()}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.met = dict(self.words)
+
+    def _room(self) -> int:
+        return CACHED - (len(self.met) - len(self.words))
 
     def _row(self, word: str) -> int:
-        row = self.model.rows.get(word)
-        if row is None:
-            row = len(self.model.scores) + len(self.met)
-            self.table[row] = self.model.of_unseen(word)
-            self.met[word] = row
+        row = 1 + len(self.model.scores) + len(self.met) - len(self.words)
+        self.table[row] = self.model.of_unseen(word)
+        self.met[word] = row
         return row
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -77,14 +84,13 @@ class Scorer:
         if not words or not self.model.languages:
             return UNKNOWN, 0.0
         counts = Counter(words)
-        if len(self.met) + len(counts) > CACHED:
-            self.met.clear()
         total = np.zeros(len(self.model.languages))
-        known, names, times = self.met.get, list(counts), np.fromiter(counts.values(), dtype=np.float64)
+        names, times = list(counts), np.fromiter(counts.values(), dtype=np.float64)
         for i in range(0, len(names), CACHED):
-            if len(self.met) + min(CACHED, len(names) - i) > CACHED:
-                self.met.clear()
             part = names[i : i + CACHED]
+            if len(part) > self._room():
+                self._forget()
+            known = self.met.get
             rows = [known(w) or self._row(w) for w in part]
             total += times[i : i + len(part)] @ self.table[rows]
         chances = np.exp(total - total.max())
@@ -111,8 +117,9 @@ def fit(labelled: DataFrame, per_language: int = LEARNED_PER_LANGUAGE, entries:
     null teach nothing.
 
     The fit reads about ``per_language`` documents of each language, picked by a hash of
-    the text, and keeps the ``entries`` most frequent words and n-grams; both bound what
-    reaches the driver. More than ``LANGUAGES`` labels are an error.
+    the text, learns n-grams from the ``WORDS`` most frequent words there, and keeps the
+    ``entries`` most frequent words and n-grams. ``WORDS`` bounds what reaches the driver.
+    More than ``LANGUAGES`` labels are an error.
     """
     labelled = labelled.select("text", "lang").dropna()
     sizes = labelled.groupBy("lang").count().limit(LANGUAGES + 1).collect()
@@ -130,9 +137,11 @@ def fit(labelled: DataFrame, per_language: int = LEARNED_PER_LANGUAGE, entries:
         labelled.filter(drawn).mapInArrow(_counted, "lang string, word string, n long")
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
+    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    frequent = counted.withColumn("place", F.row_number().over(by_count)).filter(F.col("place") <= WORDS)
     words: dict[str, Counter] = {lang: Counter() for lang in languages}
     grams: dict[str, Counter] = {lang: Counter() for lang in languages}
-    for r in counted.toLocalIterator(prefetchPartitions=True):
+    for r in frequent.select("lang", "word", "n").toLocalIterator(prefetchPartitions=True):
         words[r["lang"]][r["word"]] = r["n"]
         for n in range(1, LONGEST + 1):
             for gram in _grams(r["word"], n):
