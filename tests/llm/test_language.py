@@ -50,3 +50,16 @@ def test_odd_rows(odd, none):
 def test_nothing_learned(odd, none):
     model = language.fit(none)
     assert {r["lang_pred"] for r in language.predicted(odd, model).collect()} == {"und"}
+
+
+def test_scores_do_not_depend_on_what_is_kept(docs_of, monkeypatch):
+    model = language.fit(docs_of((1, "zzap zzap zzop zzil", "aa", "s"), (2, "qqirk qqirk qqark zzil", "bb", "s")))
+    texts = ["zzap qqob zzub qqirk zzil", "ux uy uz qqark", "zzop zzap", "zzub ux zzub qqob qqirk"]
+    much = language.Scorer(model)
+    expected = [much.predict(t) for t in texts]
+    assert [much.predict(t) for t in texts] == expected
+    monkeypatch.setattr(language, "CACHED", 2)
+    little = language.Scorer(model)
+    for (lang, score), t in zip(expected, texts, strict=True):
+        got = little.predict(t)
+        assert got[0] == lang and abs(got[1] - score) < 1e-6
