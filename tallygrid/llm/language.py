@@ -21,7 +21,7 @@ UNKNOWN = "und"
 LEARNED_PER_LANGUAGE = 1000  # documents; all of a language that has fewer
 LANGUAGES = 1000
 ENTRIES = 200_000  # words and n-grams that the model holds, shared by the languages
-WORDS = 20_000  # of each language, the most frequent, that n-grams are learned from
+WORDS = 20_000  # of each language, the most frequent, that are learned from
 LONGEST = 5
 CACHED = 300_000
 
@@ -117,7 +117,7 @@ def fit(labelled: DataFrame, per_language: int = LEARNED_PER_LANGUAGE, entries:
     null teach nothing.
 
     The fit reads about ``per_language`` documents of each language, picked by a hash of
-    the text, learns n-grams from the ``WORDS`` most frequent words there, and keeps the
+    the text, learns from the ``WORDS`` most frequent words of each there, and keeps the
     ``entries`` most frequent words and n-grams. ``WORDS`` bounds what reaches the driver.
     More than ``LANGUAGES`` labels are an error.
     """
