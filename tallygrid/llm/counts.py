@@ -99,10 +99,11 @@ def counts(spark: SparkSession, folder: str, block: int = BLOCK) -> DataFrame:
     unfinished = F.col("final") & (F.coalesce("last", "open") < rest)
     ends = F.when(unfinished, F.concat(closing, F.array(rest))).otherwise(closing)
     starts = F.concat(F.array("open"), F.transform(closing, lambda e: e + 1))
-    spans = F.transform(ends, lambda e, i: F.struct(
-        (F.col("number") + i).alias("document"), F.element_at(starts, i + 1).alias("start"),
-        (e - F.element_at(starts, i + 1)).alias("n_tokens")))
-    return placed.select("file", F.explode(spans).alias("d")).select("file", "d.document", "d.start", "d.n_tokens")
+    # Joined place by place: looking starts up in a lambda would make them again for each document.
+    spans = F.zip_with(F.slice(starts, F.lit(1), F.size(ends)), ends, lambda s, e: F.struct(
+        s.alias("start"), (e - s).alias("n_tokens")))
+    return placed.select("file", "number", F.posexplode(spans).alias("i", "d")).select(
+        "file", (F.col("number") + F.col("i")).alias("document"), "d.start", "d.n_tokens")
 
 
 def document_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
