@@ -55,12 +55,21 @@ def with_facts(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "lef
     return joined.drop(*(f"__fact_{k}" for k in keys))
 
 
+#: What tells the rows of an id apart, and those without one.
+OWN = "__own"
+
+
+def own_hash() -> Column:
+    return F.xxhash64("text").alias(OWN)
+
+
 def without(docs: DataFrame, gone: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not in ``gone``; a row that repeats an id and its
-    text stays once. ``ids`` has the id of every row: texts are only shuffled to look for
-    repeated rows if an id repeats."""
-    left = with_facts(docs, gone, ["doc_id"], "left_anti")
-    repeated = ids.groupBy("doc_id").count().filter("count > 1")
+    """The rows of ``docs`` whose id and text hash are not in ``gone``; a row that repeats
+    an id and its text stays once. ``ids`` has both of every row that may repeat: texts are
+    only shuffled to look for repeated rows if there are any."""
+    keys = ["doc_id", OWN]
+    left = with_facts(docs.select("*", own_hash()), gone, keys, "left_anti").drop(OWN)
+    repeated = ids.groupBy(*keys).count().filter("count > 1")
     return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
 
 

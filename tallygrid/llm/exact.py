@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import stored, without, without_blanks
+from tallygrid.llm.common import OWN, own_hash, stored, without, without_blanks
 from tallygrid.operators.spread import attach
 
 PREFIX = 64
@@ -39,9 +39,10 @@ def _filter_bits(keys: DataFrame) -> DataFrame:
 
 
 def hashed(docs: DataFrame) -> DataFrame:
-    """doc_id, text_sha256 of the text without white space, and code points of the text."""
+    """doc_id, hash of the text, text_sha256 of the text without white space, and code
+    points of the text."""
     return docs.select(
-        "doc_id", F.sha2(without_blanks(F.col("text")).cast("binary"), 256).alias("text_sha256"),
+        "doc_id", own_hash(), F.sha2(without_blanks(F.col("text")).cast("binary"), 256).alias("text_sha256"),
         F.coalesce(F.length("text"), F.lit(0)).alias("points"))
 
 
@@ -59,18 +60,18 @@ def possible_copies(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
 
 
 def copy_groups(candidates: DataFrame) -> DataFrame:
-    """Groups of two or more equal texts: text_sha256, keep_id and group_size.
+    """Groups of two or more equal texts: text_sha256, keep_id, keep_own and group_size.
 
     Of a group the row with the most code points in its original text stays, then the
     smallest doc_id; a null id comes last. Null text counts as empty, and empty texts
     are equal. Repeated rows count as rows.
     """
-    best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("none"), "doc_id"))
+    best = F.min(F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("none"), "doc_id", OWN))
     return (
         candidates.groupBy("text_sha256")
         .agg(F.count("*").alias("group_size"), best.alias("best"))
         .filter("group_size > 1")
-        .select("text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size")
+        .select("text_sha256", F.col("best.doc_id").alias("keep_id"), F.col(f"best.{OWN}").alias("keep_own"), "group_size")
     )
 
 
@@ -96,5 +97,6 @@ def without_copies(docs: DataFrame) -> DataFrame:
     text, one."""
     candidates = stored(possible_copies(docs), "exact-candidates")
     found = attach(candidates, copy_groups(candidates), ["text_sha256"], "inner")
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id").distinct()
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col(OWN) == F.col("keep_own"))
+    gone = found.filter(~stays).select("doc_id", OWN).distinct()
     return without(docs, gone, candidates)

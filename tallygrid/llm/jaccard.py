@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import by_batch, in_slices, stored, with_facts, without
+from tallygrid.llm.common import OWN, by_batch, in_slices, own_hash, stored, with_facts, without
 from tallygrid.llm.components import components
 from tallygrid.llm.hashes import joined, lot_of, packed, shingles, split_by
 from tallygrid.operators.spread import attach
@@ -50,22 +50,22 @@ def _least_shared(n: np.ndarray | int, percent: int):
 
 
 def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, and class (null without shingles) of each row."""
+    """doc_id, hash of the text, n_shingles, and class (null without shingles) of each row."""
 
     def make():
         def each(batch):
             for part in in_slices(batch, "text", 1 << 24):
                 sets = [shingles(t, words) for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
+                    [part["doc_id"], part[OWN], pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64())],
-                    names=["doc_id", "n_shingles", "class"])
+                    names=["doc_id", OWN, "n_shingles", "class"])
 
         return each
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        by_batch(make), f"doc_id {kind}, n_shingles long, class long")
+    return docs.select("doc_id", own_hash(), F.col("text").cast("binary").alias("text")).mapInArrow(
+        by_batch(make), f"doc_id {kind}, {OWN} long, n_shingles long, class long")
 
 
 def _tokens_by_lot(words: int, lots: int):
@@ -329,6 +329,13 @@ def class_links(possible: DataFrame, percent: int = PERCENT) -> DataFrame:
     return attach(parts, merged, ["part"]).select("class", F.coalesce("label", "part").alias("label"))
 
 
+def _labelled(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``classes`` of all rows, and the labels that links give to classes."""
+    found = stored(classes(docs, words), "jaccard-documents")
+    n_tokens = found.agg(F.sum("n_shingles")).first()[0] or 0
+    return found, class_links(_candidates(docs, n_tokens, words, percent), percent)
+
+
 def linked_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs``.
 
@@ -338,9 +345,7 @@ def linked_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     keep their own id. Null ids name no component, and have null if no other id is
     reached. Repeated rows are equal sets. An empty table gives an empty result.
     """
-    found = stored(classes(docs, words), "jaccard-documents")
-    n_tokens = found.agg(F.sum("n_shingles")).first()[0] or 0
-    labels = class_links(_candidates(docs, n_tokens, words, percent), percent)
+    found, labels = _labelled(docs, words, percent)
     firsts = found.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"))
     known = attach(firsts, labels, ["class"])
     least = known.filter("label is not null").groupBy("label").agg(F.min("first").alias("least"))
@@ -350,9 +355,14 @@ def linked_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
             F.col("component_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that name their component, columns unchanged; of rows that
-    repeat an id and its text, one."""
-    found = stored(linked_documents(docs, **how), "jaccard-result")
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that name their component, columns unchanged: of those that have
+    the smallest id, or all of them none, that with the smallest hash of its text. Rows
+    without shingles stay; of rows that repeat an id and its text, one does."""
+    found, labels = _labelled(docs, words, percent)
+    rows = stored(attach(found.filter("class is not null"), labels, ["class"]).select(
+        "doc_id", OWN, F.coalesce("label", "class").alias("part")), "jaccard-result")
+    best = rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", OWN)).alias("best"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col(OWN) == F.col(f"best.{OWN}"))
+    gone = attach(rows, best, ["part"]).filter(~stays).select("doc_id", OWN).distinct()
     return without(docs, gone, found)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import WORD, n_words, stored, with_facts
+from tallygrid.llm.common import OWN, WORD, n_words, own_hash, stored, with_facts
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -107,25 +107,14 @@ def _shards(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
             "shards"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
+def _planned(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
         most: float = MOST, blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """How many words of each document the mix takes, and into which shards.
-
-    Columns: doc_id, size, source_size, target (the source's), taken (words, repeats
-    counted), shards (one entry for each copy taken, the last of which may be cut).
-    One row for each row of ``docs``. A source's taken words equal its rounded target:
-    the document at the edge of the quota gives its first words only, at most one
-    document a source. Choices depend on ids, sources and sizes alone, so reruns agree.
-
-    ``blocks`` a source bounds all that is ordered in one task: the block table has
-    ``blocks`` rows a source, and documents are ordered in one block a source. ``shards``
-    is a power of two. Null text and text without words have size 0 and are not taken;
-    a null source is a source; a null id is an id; repeated rows are rows of their own.
-    An empty table gives an empty result. Only doc_id, text and source are read.
-    """
-    block = F.pmod(_order("doc_id", seed=seed), F.lit(blocks)).cast("int")
+    """``mix`` with the source and the hash of the text of each row."""
+    # A null id hashes as nothing: rows without an id are told apart by their texts.
+    alone = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    block = F.pmod(_order("doc_id", alone, seed=seed), F.lit(blocks)).cast("int")
     sized = stored(
-        docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), block.alias("block")),
+        docs.select("doc_id", own_hash(), "source", n_words(F.col("text")).alias("size"), block.alias("block")),
         "mix-sizes")
     per_block = stored(
         sized.groupBy("source", "block").agg(F.sum("size").alias("words")), "mix-blocks")
@@ -136,7 +125,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     edge = F.coalesce(F.col("extra_left") < F.col("words"), F.lit(False))
     earlier = (
         Window.partitionBy("source")
-        .orderBy(_order("doc_id", seed=seed + 1), "doc_id", "size")
+        .orderBy(_order("doc_id", F.when(F.col("doc_id").isNull(), F.col(OWN)), seed=seed + 1), "doc_id", "size", OWN)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     whole = placed.filter(~edge).withColumn(
@@ -146,26 +135,49 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     taken = F.col("full") * F.col("size") + F.col("extra")
     copies = (F.when(F.col("size") > 0, F.col("full")).otherwise(0) + (F.col("extra") > 0).cast("int")).cast("int")
     return whole.unionByName(cut).select(
-        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"),
+        "doc_id", OWN, "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
         F.coalesce(F.slice("shards", F.lit(1), copies), F.array().cast("array<int>")).alias("shards"))
 
 
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
+        most: float = MOST, blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """How many words of each document the mix takes, and into which shards.
+
+    Columns: doc_id, size, source_size, target (the source's), taken (words, repeats
+    counted), shards (one entry for each copy taken, the last of which may be cut).
+    One row for each row of ``docs``. A source's taken words equal its rounded target:
+    the document at the edge of the quota gives its first words only, at most one
+    document a source. Choices depend on ids, texts, sources and sizes alone, so reruns agree.
+
+    ``blocks`` a source bounds all that is ordered in one task: the block table has
+    ``blocks`` rows a source, and documents are ordered in one block a source. ``shards``
+    is a power of two. Null text and text without words have size 0 and are not taken;
+    a null source is a source; a null id is an id; repeated rows are rows of their own.
+    An empty table gives an empty result. Only doc_id, text and source are read.
+    """
+    return _planned(docs, weights, share, most, blocks, shards, seed).drop(OWN, "source")
+
+
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: a row of ``docs``, with its columns, for each copy taken, dealt
     out by shard and shuffled inside each. Where a quota's edge cuts a copy, its text is
     the first words, joined by one space. Rows that repeat an id are given as often as
     they stand."""
-    plan = mix(docs, **how)
-    copies = plan.filter(F.size("shards") > 0).dropDuplicates(["doc_id"]).select(
-        "doc_id", F.posexplode("shards").alias("__copy", "__shard"),
+    keys = ["doc_id", OWN, "source"]
+    copies = _planned(docs, **how).filter(F.size("shards") > 0).select(
+        *keys, F.posexplode("shards").alias("__copy", "__shard"),
         (F.col("taken") - F.col("__copy") * F.col("size")).alias("__room"), F.col("size").alias("__size"))
-    rows = with_facts(docs, copies, ["doc_id"], "inner")
+    # Rows that are equal by all keys share one text, which their copies are joined to.
+    marked = docs.select("*", own_hash())
+    if not marked.groupBy(*keys).count().filter("count > 1").isEmpty():
+        marked = marked.dropDuplicates(keys)
+    rows = with_facts(marked, copies, keys, "inner")
     first = F.array_join(
         F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), F.lit(1), F.col("__room").cast("int")), " ")
     seed = how.get("seed", SEED)
     return (
         rows.withColumn("text", F.when(F.col("__room") < F.col("__size"), first).otherwise(F.col("text")))
         .repartition("__shard")
-        .sortWithinPartitions("__shard", _order("doc_id", "__copy", seed=seed))
+        .sortWithinPartitions("__shard", _order("doc_id", OWN, "__copy", seed=seed))
         .select(*docs.columns)
     )

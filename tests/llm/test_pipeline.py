@@ -60,3 +60,17 @@ def test_query_equals_sql(spark, name):
     names = [c[0] for c in theirs.description]
     assert sorted(names) == sorted(df.columns)
     assert sorted(map(tuple, df.select(*names).collect())) == sorted(theirs.fetchall())
+
+
+def test_rows_without_an_id_are_rows_of_their_own(docs_of):
+    long = " ".join(f"w{i}" for i in range(60))
+    texts = ["alpha beta gamma", "alpha  beta gamma", "delta epsilon", "zeta eta theta", long, long + " end"]
+    rows = [(None, t, "en", "s") for t in texts] + [(5, "iota one", "en", "s"), (5, "kappa two three", "en", "s")]
+    docs = docs_of(*rows)
+    exact = {r["text"] for r in corpus_pipeline.exact.without_copies(docs).collect()}
+    assert exact == {r[1] for r in rows} - {"alpha beta gamma"}
+    near = [r["text"] for r in corpus_pipeline.jaccard.one_of_each(docs).collect()]
+    assert len(near) == 6 and len({long, long + " end"} & set(near)) == 1
+    mixed = Counter(r["text"] for r in corpus_pipeline.mixing.mixed_documents(
+        docs, weights=(1,), share=1.0, most=1.0).collect())
+    assert mixed == Counter(r[1] for r in rows)
