@@ -12,16 +12,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import by_batch, in_slices
+from tallygrid.llm.common import by_batch, in_slices, stored
 
 UNKNOWN = "und"
-LEARNED_PER_LANGUAGE = 1000  # documents; all of a language that has fewer
+LEARNED_PER_LANGUAGE = 4000  # distinct texts; all of a language that has fewer
 LANGUAGES = 1000
 ENTRIES = 200_000  # words and n-grams that the model holds, shared by the languages
-WORDS = 20_000  # of each language, the most frequent, that are learned from
 LONGEST = 5
 CACHED = 300_000
 
@@ -109,50 +108,69 @@ def _counted(batches):
             part = names[i : i + 20_000]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(part)), pa.array(part), pa.array(times[i : i + 20_000])],
-                names=["lang", "word", "n"])
+                names=["lang", "name", "n"])
 
 
 def fit(labelled: DataFrame, per_language: int = LEARNED_PER_LANGUAGE, entries: int = ENTRIES) -> Model:
     """Learn from the text and lang of the labelled rows given; rows where either is
     null teach nothing.
 
-    The fit reads about ``per_language`` documents of each language, picked by a hash of
-    the text, learns from the ``WORDS`` most frequent words of each there, and keeps the
-    ``entries`` most frequent words and n-grams. ``WORDS`` bounds what reaches the driver.
+    The fit reads ``per_language`` distinct texts of each language, those with the smallest
+    hashes, or all if there are fewer; copies count once. It keeps the ``entries`` most
+    frequent words and n-grams; the others are counted in Spark and do not reach the driver.
     More than ``LANGUAGES`` labels are an error.
     """
     labelled = labelled.select("text", "lang").dropna()
-    sizes = labelled.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    spot = F.xxhash64("text")
+    texts = stored(labelled.select("lang", spot.alias("spot")).distinct(), "language-texts")
+    sizes = texts.groupBy("lang").count().limit(LANGUAGES + 1).collect()
     if len(sizes) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model([], {}, np.zeros((0, 0), dtype=np.float32))
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, per_language / r["count"])).otherwise(share)
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000
+    # Hashes of which about twice as many are below as are wanted; only those are put in order.
+    ends = {r["lang"]: min(2**63 - 1, 2**64 * (2 * per_language + 50) // r["count"] - 2**63) for r in sizes}
+
+    def below(ends: dict[str, int]) -> Column:
+        end = F.lit(2**63 - 1)
+        for lang, n in ends.items():
+            end = F.when(F.col("lang") == lang, F.lit(n).cast("long")).otherwise(end)
+        return end
+
+    in_order = Window.partitionBy("lang").orderBy("spot")
+    last = texts.filter(F.col("spot") <= below(ends)).withColumn("place", F.row_number().over(in_order)).filter(
+        F.col("place") <= per_language).groupBy("lang").agg(F.max("spot").alias("spot"))
+    drawn = labelled.filter(spot <= below({r["lang"]: r["spot"] for r in last.collect()})).dropDuplicates(["lang", "text"])
     each = entries // (2 * len(languages))
-    counted = (
-        labelled.filter(drawn).mapInArrow(_counted, "lang string, word string, n long")
-        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    )
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    frequent = counted.withColumn("place", F.row_number().over(by_count)).filter(F.col("place") <= WORDS)
-    words: dict[str, Counter] = {lang: Counter() for lang in languages}
-    grams: dict[str, Counter] = {lang: Counter() for lang in languages}
-    for r in frequent.select("lang", "word", "n").toLocalIterator(prefetchPartitions=True):
-        words[r["lang"]][r["word"]] = r["n"]
-        for n in range(1, LONGEST + 1):
-            for gram in _grams(r["word"], n):
-                grams[r["lang"]][f"{n}{gram}"] += r["n"]
-
-    def table(counts: dict[str, Counter]) -> tuple[list[str], np.ndarray]:
-        best = (sorted(c.items(), key=lambda x: (-x[1], x[0]))[:each] for c in counts.values())
-        names = sorted({name for part in best for name, _ in part})
-        seen = np.array([[counts[lang][name] for lang in languages] for name in names], dtype=float)
-        seen = seen.reshape(len(names), len(languages))
-        totals = np.array([sum(counts[lang].values()) for lang in languages], dtype=float)
+    words = stored(
+        drawn.mapInArrow(_counted, "lang string, name string, n long")
+        .groupBy("lang", "name").agg(F.sum("n").alias("n")), "language-words")
+    padded = F.concat(F.lit("_"), F.col("name"), F.lit("_"))
+
+    def grams_of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1)))
+        return F.when(F.length(padded) >= n, F.transform(
+            starts, lambda i: F.concat(F.lit(str(n)), F.substring(padded, i, F.lit(n))))).otherwise(
+            F.array().cast("array<string>"))
+
+    every = F.flatten(F.array(*(grams_of(n) for n in range(1, LONGEST + 1))))
+    grams = stored(
+        words.select("lang", F.explode(every).alias("name"), "n")
+        .groupBy("lang", "name").agg(F.sum("n").alias("n")), "language-grams")
+
+    def table(counts: DataFrame) -> tuple[list[str], np.ndarray]:
+        by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "name")
+        best = counts.withColumn("place", F.row_number().over(by_count)).filter(F.col("place") <= each)
+        found = counts.join(best.select("name").distinct(), "name", "left_semi").select("lang", "name", "n")
+        rows = [tuple(r) for r in found.toLocalIterator(prefetchPartitions=True)]
+        names = sorted({name for _, name, _ in rows})
+        place, column = {x: i for i, x in enumerate(names)}, {x: i for i, x in enumerate(languages)}
+        seen = np.zeros((len(names), len(languages)))
+        for lang, name, n in rows:
+            seen[place[name], column[lang]] = n
+        sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+        totals = np.array([sums.get(lang, 0) for lang in languages], dtype=float)
         return names, np.log((seen + 0.05) / (totals + 0.05 * (len(names) + 1)))
 
     # An n-gram's digit in front keeps it apart from words, which are letters only.

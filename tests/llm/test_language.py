@@ -63,3 +63,14 @@ def test_scores_do_not_depend_on_what_is_kept(docs_of, monkeypatch):
     for (lang, score), t in zip(expected, texts, strict=True):
         got = little.predict(t)
         assert got[0] == lang and abs(got[1] - score) < 1e-6
+
+
+def test_few_texts_among_many_copies_are_all_learned_once(docs_of):
+    few = ["zzap zzop", "zzil zzum", "zzek zzal"]
+    rows = [(i, few[0] if i < 1500 else few[i % 3], "aa", "s") for i in range(1503)]
+    rows += [(9000 + i, f"qqirk qq{chr(97 + i)}", "bb", "s") for i in range(20)]
+    model = language.fit(docs_of(*rows), per_language=3)
+    a = model.languages.index("aa")
+    scores = [model.scores[model.rows[w]][a] for text in few for w in text.split()]
+    assert max(scores) == min(scores)
+    assert sum(f"qq{chr(97 + i)}" in model.rows for i in range(20)) == 3
