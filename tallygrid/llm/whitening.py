@@ -111,9 +111,11 @@ def _squares(low: list[int]) -> Callable[[np.ndarray], Iterator[tuple[int, np.nd
 
 @dataclass
 class Whitening:
-    """``vectors``: a column for each component. x - S/n is x - low - rest/n."""
+    """``vectors``: a column for each component. x - S/n is x - low - rest/n. ``unit`` is 1,
+    or a power of two that variances are taken in where a double could not hold them."""
 
     n: int
+    unit: int
     low: list[int]
     rest: list[int]
     covariance: np.ndarray
@@ -122,7 +124,9 @@ class Whitening:
     explained: np.ndarray
 
     def centred(self, x: np.ndarray) -> np.ndarray:
-        return _less(x, self.low).astype(float) - np.array([r / self.n for r in self.rest])
+        near = _less(x, self.low)
+        near = near.astype(float) if self.unit == 1 else (near.astype(object) / self.unit).astype(float)
+        return near - np.array([r / (self.n * self.unit) for r in self.rest])
 
     def of(self, x: np.ndarray) -> np.ndarray:
         """Whitened components of rows; not a number where a component has no variance."""
@@ -138,8 +142,13 @@ class Whitening:
         return [int(s) if s < 2**63 else None for s in (off * off).sum(axis=1).tolist()]
 
 
-def covariances(n: int, rest: list[int], squares: Numbers) -> np.ndarray:
-    """From the sums of squares of x - low, and of its sums of two dimensions.
+def _unit(squares: Numbers) -> int:
+    bits = max((x.bit_length() for x in squares.values()), default=0)
+    return 1 if bits < 900 else 1 << (bits - 800) // 2
+
+
+def covariances(n: int, rest: list[int], squares: Numbers, unit: int = 1) -> np.ndarray:
+    """From the sums of squares of x - low, and of its sums of two dimensions; in unit^2.
 
     The sum of (n u - S)^2 is n^2 times the sum of (u - low)^2, less n rest^2; it is taken
     for u of one dimension and of two, in whole numbers, and divided once.
@@ -153,9 +162,9 @@ def covariances(n: int, rest: list[int], squares: Numbers) -> np.ndarray:
     alone = [spread(i, i) for i in range(size)]
     found = np.zeros((size, size))
     for i in range(size):
-        found[i, i] = alone[i] / n**3
+        found[i, i] = alone[i] / (n**3 * unit**2)
         for j in range(i + 1, size):
-            found[i, j] = found[j, i] = (spread(i, j) - alone[i] - alone[j]) / (2 * n**3)
+            found[i, j] = found[j, i] = (spread(i, j) - alone[i] - alone[j]) / (2 * n**3 * unit**2)
     return found
 
 
@@ -170,14 +179,16 @@ def fit(rows: DataFrame, components: int = COMPONENTS) -> Whitening | None:
     totals = [sums.get((0, 1 + i), 0) for i in range(size)]
     low = [t // n for t in totals]
     rest = [t - n * m for t, m in zip(totals, low, strict=True)]
-    matrix = covariances(n, rest, _summed(rows, _squares(low)))
+    squares = _summed(rows, _squares(low))
+    unit = _unit(squares)
+    matrix = covariances(n, rest, squares, unit)
     values, turned = np.linalg.eigh(matrix)
     values, turned = values[::-1][:components], turned[:, ::-1][:, :components]
     # Either sign would do; the largest entry is made positive, so that reruns agree.
     signs = np.sign(turned[np.abs(turned).argmax(axis=0), np.arange(turned.shape[1])])
     trace = float(np.trace(matrix))
     flat = values <= size * np.finfo(float).eps * max(trace, 0.0)
-    return Whitening(n, low, rest, matrix, np.where(flat, 0.0, values), turned * np.where(signs < 0, -1, 1),
+    return Whitening(n, unit, low, rest, matrix, np.where(flat, 0.0, values), turned * np.where(signs < 0, -1, 1),
                      values / trace if trace > 0 else np.full(len(values), np.nan))
 
 
