@@ -30,11 +30,15 @@ def _whole(c: Column) -> Column:
     return (F.abs(c) < F.lit(LARGEST)) & near
 
 
+def _micros(amount: Column) -> Column:
+    """Whole millionths as a long; null for other amounts."""
+    return F.when(_whole(amount), F.rint(amount * F.lit(float(MICROS)))).cast("bigint")
+
+
 def exact_total(c: Column | str, times: Column | str | None = None) -> Column:
     """Sum of the amounts in ``c`` that are whole millionths, as a decimal with six
     places; ``times`` counts each value that often."""
-    amount = column(c).cast("double")
-    micros = F.when(_whole(amount), F.rint(amount * F.lit(float(MICROS)))).cast("bigint")
+    micros = _micros(column(c).cast("double"))
     mask = F.lit((1 << PART_BITS) - 1).cast("bigint")
     parts = [
         F.shiftright(micros, 2 * PART_BITS),
@@ -53,9 +57,9 @@ def exact_total(c: Column | str, times: Column | str | None = None) -> Column:
 def other_total(c: Column | str, times: Column | str | None = None) -> Column:
     """Sum of the amounts that ``exact_total`` leaves out, as a double; null without any."""
     amount = column(c).cast("double")
-    if times is not None:
-        return F.sum(F.when(~_whole(amount), amount * column(times)))
-    return F.sum(F.when(~_whole(amount), amount))
+    # By the long that ``exact_total`` needs too, so that Spark makes the test once a row.
+    left = F.when(_micros(amount).isNull(), amount)
+    return F.sum(left if times is None else left * column(times))
 
 
 def put_together(exact: Column | str, other: Column | str) -> Column:
@@ -73,6 +77,29 @@ def exact_mean(c: Column | str) -> Column:
     return ratio(exact_sum(c), F.count(column(c)))
 
 
+def exact_deviation(c: Column | str) -> Column:
+    """Sample standard deviation, null for fewer than two values.
+
+    Sums of whole millionths and of their squares are exact, and so is what the mean takes
+    from them up to a remainder below one millionth a value; only then are doubles used. A
+    group with other amounts, or whose squares pass 38 digits, has Spark's own deviation,
+    the last digits of which depend on the order of its rows.
+    """
+    amount = column(c).cast("double")
+    micros = _micros(amount)
+    whole = micros.cast("decimal(19,0)")
+    n, total = F.count(amount), F.sum(whole).cast("decimal(38,0)")
+    squares = F.try_sum((whole * whole).cast("decimal(38,0)"))
+    # With total = near * n + left, squares - total^2 / n is squares - near * (total + left) - left^2 / n.
+    near = F.floor(total.cast("double") / n).cast("decimal(38,0)")
+    left = (total - near * n.cast("decimal(19,0)")).cast("decimal(38,0)")
+    bulk = F.try_subtract(squares, F.try_multiply(near, (total + left).cast("decimal(38,0)")))
+    rest = left.cast("double") * left.cast("double") / n
+    spread = F.greatest(bulk.cast("double") - rest, F.lit(0.0))
+    exact = F.when(n > 1, F.sqrt(spread / (n - 1)) / float(MICROS))
+    return F.when((F.count(micros) == n) & (bulk.isNotNull() | (n < 2)), exact).otherwise(F.stddev(amount))
+
+
 def int_mean(c: Column | str) -> Column:
     """Mean of an integer column from its exact sum."""
     return ratio(F.sum(column(c)).cast("double"), F.count(column(c)))

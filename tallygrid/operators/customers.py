@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions.bands import first_reached, points_at_least, points_at_most
 from tallygrid.functions.dates import day, year_month
-from tallygrid.functions.money import exact_mean, exact_sum, ratio, rows
+from tallygrid.functions.money import exact_deviation, exact_mean, exact_sum, ratio, rows
 from tallygrid.operators.spread import attach
 
 # The segment names the reports use.
@@ -103,13 +103,14 @@ def customer_product_counts(sales: DataFrame, key: str = "customer_name") -> Dat
 def customer_features(sales: DataFrame, as_of: dt.date | str | None = None,
                       key: str = "customer_name") -> DataFrame:
     """Recency, frequency and monetary value of every customer, each shifted and
-    scaled to mean 0 and sample deviation 1."""
+    scaled to mean 0 and sample deviation 1. Means and deviations are exact, so a
+    customer's features do not depend on how sales are spread."""
     numbers = _rfm_numbers(sales, key, as_of)
     sources = {"r": "recency_days", "f": "frequency", "m": "monetary_value"}
     moments = numbers.agg(
         F.struct(
-            *[F.avg(c).alias(f"{name}_mean") for name, c in sources.items()],
-            *[F.stddev(c).alias(f"{name}_deviation") for name, c in sources.items()],
+            *[exact_mean(c).alias(f"{name}_mean") for name, c in sources.items()],
+            *[exact_deviation(c).alias(f"{name}_deviation") for name, c in sources.items()],
         )
     ).scalar()
     beside = numbers.withColumn("__all", moments)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrid.functions.bands import below_bands
-from tallygrid.functions.dates import day, parsed_date, years_between
-from tallygrid.functions.money import exact_mean, exact_sum, int_mean, ratio, rows
+from tallygrid.functions.dates import DAYS_PER_YEAR, day, parsed_date, years_between
+from tallygrid.functions.money import exact_deviation, exact_mean, exact_sum, int_mean, ratio, rows
 from tallygrid.functions.text import whole_text
 from tallygrid.operators.spread import attach, standings
 
@@ -154,12 +154,15 @@ def emp_performance_segments(windows: DataFrame, high: tuple[float, float] = (0.
 
 
 def salary_trends(segments: DataFrame, active: str = "Active") -> DataFrame:
+    """Per department and segment. Mean, deviation and tenure do not depend on the order
+    of rows: tenure is counted in whole days."""
+    days = F.rint(F.col("years_service") * F.lit(DAYS_PER_YEAR)).cast("bigint")
     is_active = F.when(F.col("status") == active, 1).otherwise(0)
     return segments.groupBy("department", "performance_segment").agg(
         rows().alias("employee_count"),
         exact_mean("salary").alias("avg_salary"),
-        F.stddev("salary").alias("salary_std"),
-        F.avg("years_service").alias("avg_tenure"),
+        exact_deviation("salary").alias("salary_std"),
+        (F.sum(days) / F.lit(DAYS_PER_YEAR) / F.count(days)).alias("avg_tenure"),
         F.sum(is_active).alias("active_employees"),
     )
 

@@ -18,6 +18,7 @@ from tallygrid.functions.money import (
     rows,
 )
 from tallygrid.functions.text import whole_text
+from tallygrid.operators.distinct import distinct_bitmaps, distinct_by_grouping, distinct_in_unions
 from tallygrid.operators.spread import attach, standings
 
 # The labels the reports use.
@@ -282,6 +283,32 @@ def sales_rollup(sales: DataFrame) -> DataFrame:
     return _grouping_totals(_region_category_cells(sales).rollup("region", "category"))
 
 
+def _grouping_customers(sales: DataFrame, kind: str, key: str) -> DataFrame:
+    """Cube or roll-up of region and category, with the exact number of distinct customers
+    of every grouping. Sales are grouped by cell, once for totals and once for bitmaps of
+    the customers; only these cells are multiplied."""
+    cells = ["region", "category"]
+    totals = sales_cube(sales) if kind == "cube" else sales_rollup(sales)
+    customers = distinct_by_grouping(distinct_bitmaps(sales, cells, key), cells, kind, "customers")
+    counted = attach(totals, customers, [*cells, "gid"])
+    return counted.select(*cells, "gid", "revenue", "n", F.coalesce("customers", F.lit(0)).alias("customers"))
+
+
+def sales_cube_customers(sales: DataFrame, key: str = "customer_id") -> DataFrame:
+    return _grouping_customers(sales, "cube", key)
+
+
+def sales_rollup_customers(sales: DataFrame, key: str = "customer_id") -> DataFrame:
+    return _grouping_customers(sales, "rollup", key)
+
+
+def market_customers(sales: DataFrame, markets: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Distinct customers of each market: ``markets`` names the cells (region, category) that
+    belong to it. A customer of two cells of a market counts once."""
+    cells = ["region", "category"]
+    return distinct_in_unions(distinct_bitmaps(sales, cells, key), cells, markets, "market", "customers")
+
+
 def mart_region(sales: DataFrame) -> DataFrame:
     return sales.groupBy("region").agg(
         exact_sum("total_amount").alias("revenue"),

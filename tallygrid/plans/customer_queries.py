@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tallygrid.operators import customers as ops
 from tallygrid.operators import quality
-from tallygrid.plans.catalog import query, rounded
-from tallygrid.plans.oracle import mean, over, total
+from tallygrid.plans.catalog import query
+from tallygrid.plans.oracle import deviation, int_mean, mean, over, total
 from tallygrid.plans.sales_queries import COLUMNS
 
 AS_OF = "2001-08-02"
@@ -40,6 +40,25 @@ def _(star):
     return ops.vip_customers(sales, min_purchases=60)
 
 
+@query("vip_customers_usual", over(f"""
+SELECT customer_name, count(*) AS purchase_frequency, {total('total_amount')} AS total_spent,
+       {mean('total_amount')} AS avg_order_value, sum(quantity)::bigint AS total_items_bought
+FROM sales GROUP BY customer_name HAVING count(*) > 2"""))
+def _(star):
+    return ops.vip_customers(star.sales("customer_name", "total_amount", "quantity"))
+
+
+USUAL_RFM = RFM_SQL
+for cut, usual in (("<= 120", "<= 7"), ("<= 300", "<= 14"), (">= 45", ">= 3"), (">= 35", ">= 2"),
+                   (">= 2400000", ">= 1000"), (">= 1800000", ">= 500")):
+    USUAL_RFM = USUAL_RFM.replace(cut, usual)
+
+
+@query("customer_rfm_usual", over(USUAL_RFM + "SELECT * FROM rfm"))
+def _(star):
+    return ops.customer_rfm(star.sales(*RFM_COLUMNS), as_of=AS_OF)
+
+
 def rfm(star):
     return ops.customer_rfm(star.sales(*RFM_COLUMNS), **RFM)
 
@@ -93,15 +112,16 @@ def _(star):
     return ops.customer_product_counts(star.sales("customer_name", "product_name"))
 
 
-@query("customer_features", over(RFM_SQL + """
-SELECT customer_name,
-       round((recency_days - avg(recency_days) OVER ()) / stddev_samp(recency_days) OVER (), 6) AS r,
-       round((frequency - avg(frequency) OVER ()) / stddev_samp(frequency) OVER (), 6) AS f,
-       round((monetary_value - avg(monetary_value) OVER ()) / stddev_samp(monetary_value) OVER (), 6)
-         AS m
-FROM numbers"""))
+@query("customer_features", over(RFM_SQL + f"""
+, moments AS (
+SELECT {int_mean('recency_days')} AS r_mean, {deviation('recency_days')} AS r_deviation,
+       {int_mean('frequency')} AS f_mean, {deviation('frequency')} AS f_deviation,
+       {mean('monetary_value')} AS m_mean, {deviation('monetary_value')} AS m_deviation FROM numbers)
+SELECT customer_name, (recency_days - r_mean) / r_deviation AS r, (frequency - f_mean) / f_deviation AS f,
+       (monetary_value - m_mean) / m_deviation AS m
+FROM numbers, moments"""))
 def _(star):
-    return rounded(ops.customer_features(star.sales(*RFM_COLUMNS), as_of=AS_OF), "r", "f", "m")
+    return ops.customer_features(star.sales(*RFM_COLUMNS), as_of=AS_OF)
 
 
 @query("customer_360", over(f"""

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tallygrid.operators import employees as emp
 from tallygrid.operators import quality
-from tallygrid.plans.catalog import query, rounded
-from tallygrid.plans.oracle import int_mean, mean, over, total
+from tallygrid.plans.catalog import query
+from tallygrid.plans.oracle import deviation, int_mean, mean, over, total
 from tallygrid.plans.star import Star
 
 AS_OF = "2024-08-31"
@@ -98,6 +98,39 @@ def _(star):
     return emp.emp_anomalies(staff(star), salary=SALARY_RANGE)
 
 
+USUAL_BAND = """CASE WHEN salary < 60000 THEN 'Low (< 60K)' WHEN salary < 80000 THEN 'Medium (60K-80K)'
+  WHEN salary >= 80000 THEN 'High (80K+)' END"""
+USUALLY_ODD = "salary < 10000 OR salary > 200000 OR age < 18 OR age > 70"
+
+
+def raised(star, *columns):
+    """Employees with salaries in the range that the operators' own cuts are made for."""
+    return staff(star, *columns).withColumn("salary", F.col("salary") * 10)
+
+
+RAISED = "raised AS (SELECT * REPLACE (salary * 10 AS salary) FROM emp)"
+
+
+@query("emp_salary_brackets_usual", over(f"""
+WITH {RAISED}
+SELECT {USUAL_BAND} AS salary_bracket, count(*) AS count, {mean('salary')} AS avg_salary,
+       {int_mean('age')} AS avg_age FROM raised GROUP BY 1"""))
+def _(star):
+    return emp.emp_salary_brackets(raised(star, "salary", "age"))
+
+
+@query("emp_anomalies_usual", over(f"WITH {RAISED} SELECT * FROM raised WHERE {USUALLY_ODD}"))
+def _(star):
+    return emp.emp_anomalies(raised(star))
+
+
+@query("emp_city_stats_usual", over(f"""
+SELECT city, count(*) AS employee_count, {mean('salary')} AS avg_salary_city
+FROM emp GROUP BY city HAVING count(*) > 1"""))
+def _(star):
+    return emp.emp_city_stats(staff(star))
+
+
 @query("emp_anomaly_count", over(f"SELECT count(*) AS anomaly_count FROM emp WHERE {ODD_ROW}"))
 def _(star):
     return emp.emp_anomaly_count(staff(star, "salary", "age"), salary=SALARY_RANGE)
@@ -126,7 +159,8 @@ SELECT *, CASE WHEN salary_percentile >= 0.8::double AND years_service >= 3 THEN
                ELSE 'Developing' END AS performance_segment
 FROM windows), trends AS (
 SELECT department, performance_segment, count(*) AS employee_count, {mean('salary')} AS avg_salary,
-       round(stddev_samp(salary), 6) AS salary_std, round(avg(years_service), 6) AS avg_tenure,
+       {deviation('salary')} AS salary_std,
+       sum(date_diff('day', hire_date::date, date '{AS_OF}'))::double / 365.25::double / count(hire_date) AS avg_tenure,
        sum(CASE WHEN status = 'Active' THEN 1 ELSE 0 END)::bigint AS active_employees
 FROM segments GROUP BY department, performance_segment)"""
 
@@ -143,8 +177,7 @@ def segments(star, *columns):
 
 
 def trends(star):
-    judged = segments(star, *JUDGED_BY, "status")
-    return rounded(emp.salary_trends(judged), "salary_std", "avg_tenure")
+    return emp.salary_trends(segments(star, *JUDGED_BY, "status"))
 
 
 @query("emp_performance_windows", over(WINDOWS))

@@ -80,3 +80,17 @@ def mean(c: str) -> str:
 
 def int_mean(c: str) -> str:
     return f"(sum({c})::double / count({c}))"
+
+
+def deviation(c: str) -> str:
+    """Sample standard deviation from exact sums of millionths, in whole numbers up to the
+    last division. A whole number becomes a double by halves of 53 bits, so as to be rounded once."""
+    x, n = f"round({c} * 1000000)::hugeint", f"count({c})"
+    total, squares = f"sum({x})::hugeint", f"sum({x} * {x})::hugeint"
+    near = f"floor({total}::double / {n})::hugeint"
+    left = f"({total} - {near} * {n})"
+    bulk = f"({squares} - {near} * ({total} + {left}))"
+    half = "9007199254740992"
+    wide = f"(({bulk} // {half})::double * {half}.0::double + ({bulk} % {half})::double)"
+    spread = f"({wide} - {left}::double * {left}::double / {n})"
+    return f"CASE WHEN {n} > 1 THEN sqrt({spread} / ({n} - 1)) / 1000000.0::double END"

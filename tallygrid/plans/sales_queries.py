@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallygrid.operators import employees as emp
 from tallygrid.operators import report
 from tallygrid.operators import sales as ops
@@ -118,6 +120,37 @@ def _(star):
     return ops.sales_anomalies(star.sales(*wanted), **ODD)
 
 
+#: Sales at a hundredth of their amount, the range that the operators' own cuts are made for.
+SMALL = "small AS (SELECT * REPLACE (total_amount / 100 AS total_amount, unit_price / 100 AS unit_price) FROM sales)"
+
+
+def small(star, *columns):
+    sales = star.sales(*columns)
+    return sales.withColumns({c: F.col(c) / 100 for c in ("total_amount", "unit_price") if c in columns})
+
+
+@query("sales_anomalies_usual", over(f"""
+WITH {SMALL}
+SELECT transaction_id, product_name, quantity, unit_price, total_amount, customer_name,
+       'HIGH_VALUE' AS anomaly_type FROM small
+WHERE total_amount > 2000 OR quantity > 5 OR unit_price > 1500"""))
+def _(star):
+    return ops.sales_anomalies(small(star, "transaction_id", "product_name", "quantity", "unit_price",
+                                     "total_amount", "customer_name"))
+
+
+@query("basket_analysis_usual", over(f"""
+SELECT CASE WHEN quantity = 1 THEN 'Single Item' WHEN quantity <= 2 THEN 'Small Basket (2 items)'
+            WHEN quantity > 2 THEN 'Large Basket (3+ items)' END AS basket_size,
+       count(*) AS transaction_count, {total('total_amount')} AS revenue_contribution,
+       {mean('total_amount')} AS avg_transaction_value,
+       {total('total_amount')} * 100.0::double
+         / sum(sum(total_amount::decimal(18,2))) OVER () ::double AS revenue_percentage
+FROM sales GROUP BY 1"""))
+def _(star):
+    return ops.basket_analysis(star.sales("quantity", "total_amount"))
+
+
 @query("sales_enriched", over(f"""
 SELECT {COLUMNS}, strftime(sale_date, '%Y-%m') AS year_month, dayname(sale_date) AS day_of_week,
        total_amount * 0.3::double AS profit_margin, total_amount / quantity AS revenue_per_unit
@@ -170,6 +203,32 @@ def _(star):
     return ops.sales_rollup(star.sales("region", "category", "total_amount"))
 
 
+CUSTOMERS = GROUPING.replace("count(*) AS n", "count(*) AS n, count(DISTINCT customer_id) AS customers")
+
+
+@query("sales_cube_customers", over(CUSTOMERS.format(total=total("total_amount"), kind="CUBE")))
+def _(star):
+    return ops.sales_cube_customers(star.sales("region", "category", "total_amount", "customer_id"))
+
+
+@query("sales_rollup_customers", over(CUSTOMERS.format(total=total("total_amount"), kind="ROLLUP")))
+def _(star):
+    return ops.sales_rollup_customers(star.sales("region", "category", "total_amount", "customer_id"))
+
+
+#: A cell of region and category belongs to the market of its region, and to one that all
+#: categories with the same first letter make.
+@query("market_customers", over("""
+SELECT market, count(DISTINCT customer_id) AS customers FROM (
+  SELECT 'region ' || region AS market, customer_id FROM sales UNION ALL
+  SELECT 'letter ' || category[1], customer_id FROM sales) GROUP BY market"""))
+def _(star):
+    cells = star.sales("region", "category").distinct()
+    markets = cells.select("region", "category", F.explode(F.array(
+        F.concat(F.lit("region "), "region"), F.concat(F.lit("letter "), F.substring("category", 1, 1)))).alias("market"))
+    return ops.market_customers(star.sales("region", "category", "customer_id"), markets)
+
+
 @query("mart_region", over(f"""
 SELECT region, {total('total_amount')} AS revenue, count(DISTINCT customer_id) AS customers,
        {mean('total_amount')} AS avg_order FROM sales GROUP BY region"""))

@@ -211,14 +211,75 @@ def export(star):
         "product_name", "category", "total_amount", "region", "sale_date"))
 
 
-@query("export_sales_csv", export_sql("{c}"))
+@query("export_sales_csv", export_sql("coalesce({c}, '')"))
 def _(star):
-    """Blanks come back from comma text as null."""
     out = export(star)
     return round_trip(star, out, sinks.write_with_header,
                       lambda s, p: tables.read_with_header(s, p, out.schema), "export")
 
 
+@query("export_departments_csv", over(f"""
+SELECT department AS "Department", count(*) AS "Employees", {mean('salary')} AS "Avg Salary",
+       {total('salary')} AS "Total Salary" FROM emp GROUP BY department"""))
+def _(star):
+    out = employees.export_departments(staff(star))
+    return round_trip(star, out, lambda d, p: sinks.write_with_header(d, p, one_file=True),
+                      lambda s, p: tables.read_with_header(s, p, out.schema), "departments")
+
+
+ODD_CELLS = {
+    0: ("concat('  ', name, ' ')", "'  ' || name || ' '"),
+    1: ("concat('\"', name, '\" said, \"\"')", "'\"' || name || '\" said, \"\"'"),
+    2: (r"concat('\\', name, '\\')", r"'\' || name || '\'"),
+    3: ("concat(name, char(10), ' next, line', char(10))", "name || chr(10) || ' next, line' || chr(10)"),
+    4: ("''", "''"),
+    5: ("cast(null as string)", "NULL"),
+    6: ("' '", "' '"),
+}
+
+
+def odd_name(which: int) -> str:
+    """The name in a form that comma text might spoil, by the employee's id."""
+    cases = " ".join(f"WHEN {k} THEN {v[which]}" for k, v in ODD_CELLS.items())
+    return f"CASE id % 8 {cases} ELSE name END"
+
+
+@query("sink_odd_cells", over(f"SELECT id, {odd_name(1)} AS name, city, {odd_name(1)} AS note FROM employees"))
+def _(star):
+    out = star.employees().select("id", F.expr(odd_name(0)).alias("name"), "city", F.expr(odd_name(0)).alias("note"))
+    return round_trip(star, out, sinks.write_with_header,
+                      lambda s, p: tables.read_with_header(s, p, out.schema, line_breaks=True), "odd")
+
+
+@query("sink_odd_positional", over(f"SELECT {odd_name(1)} AS name, id FROM employees"))
+def _(star):
+    out = star.employees().select(F.expr(odd_name(0)).alias("name"), "id")
+    return round_trip(star, out, sinks.write_positional,
+                      lambda s, p: tables.read_positional(s, p, out.schema, line_breaks=True), "odd")
+
+
+@query("sink_collection", over(f"""
+SELECT category, count(*) AS total_transactions, {total('total_amount')} AS total_sales
+FROM docs GROUP BY category"""))
+def _(star):
+    """An aggregate of documents written back to a store, by the name of its format."""
+    stats = doc_category_rollup(star.documents("category", "total_amount"))
+
+    def write(df, path):
+        for _ in range(2):  # the second replaces the first
+            sinks.write_collection(df, "orc", {"compression": "zlib"}, path)
+
+    return round_trip(star, stats, write, lambda s, p: tables.read_collection(s, p, source="orc"), "collection")
+
+
+@query("doc_connector_scan", over(f"SELECT {FLAT} FROM docs"))
+def _(star):
+    """Documents through a format name and options, their schema taken from the store."""
+    return flat(round_trip(
+        star, star.documents(), lambda d, p: sinks.write_collection(d, "orc", {}, p),
+        lambda s, p: tables.read_collection(s, p, source="orc", options={"mergeSchema": "false"}), "documents"))
+
+
 @query("export_sales_json", export_sql("coalesce({c}, '')"))
 def _(star):
     out = export(star)

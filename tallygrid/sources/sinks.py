@@ -8,19 +8,28 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from tallygrid.sources.tables import TEXT_CELLS
+
 
 def _writer(df: DataFrame, one_file: bool):
     return (df.coalesce(1) if one_file else df).write.mode("overwrite")
 
 
+def _write_text(df: DataFrame, path: str, one_file: bool, header: bool) -> None:
+    """Cells as they are: no blank is trimmed, a quote inside quotes is doubled, a backslash
+    is a character, an empty text is two quotes and null is nothing."""
+    _writer(df, one_file).options(**TEXT_CELLS, header=header, dateFormat="yyyy-MM-dd", ignoreLeadingWhiteSpace=False,
+                                  ignoreTrailingWhiteSpace=False, emptyValue='""').csv(path)
+
+
 def write_positional(df: DataFrame, path: str, one_file: bool = False) -> None:
     """Comma text without a header line."""
-    _writer(df, one_file).option("header", False).csv(path)
+    _write_text(df, path, one_file, header=False)
 
 
 def write_with_header(df: DataFrame, path: str, one_file: bool = False) -> None:
     """Comma text with a header line."""
-    _writer(df, one_file).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    _write_text(df, path, one_file, header=True)
 
 
 def write_lines(df: DataFrame, path: str, one_file: bool = False) -> None:

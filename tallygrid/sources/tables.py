@@ -13,19 +13,39 @@ from tallygrid.functions.money import rows
 from tallygrid.sources import schemas
 
 
-def read_positional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+#: How cells of comma text are told apart, for readers and writers.
+TEXT_CELLS = {"quote": '"', "escape": '"', "nullValue": "", "lineSep": "\n"}
+_EMPTY = "\x02empty\x02"  # stands for "" between Spark's reader, which takes it for null, and ours
+
+
+def _read_text(spark: SparkSession, path: str, schema: T.StructType | None, header: bool,
+               line_breaks: bool) -> DataFrame:
+    """Comma text as our writers make it: an empty cell is null, two quotes are empty text.
+
+    ``line_breaks``: cells may go over lines. Spark reads such a file in one task, so it is
+    to be asked for, and files should be of a size that one task can read.
+    """
+    reader = spark.read.options(**TEXT_CELLS, header=header, inferSchema=False, dateFormat="yyyy-MM-dd",
+                                emptyValue=_EMPTY, multiLine=line_breaks)
+    df = (reader if schema is None else reader.schema(schema)).csv(path)
+    own = {f.name: F.when(F.col(f"`{f.name}`") == _EMPTY, "").otherwise(F.col(f"`{f.name}`"))
+           for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.withColumns(own)
+
+
+def read_positional(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
     """Comma text whose columns are known by position only; bad cells become null."""
-    return spark.read.schema(schema).option("header", False).csv(path)
+    return _read_text(spark, path, schema, False, line_breaks)
 
 
-def read_with_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_with_header(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
     """Comma text with a header line and a declared schema, dates as yyyy-MM-dd."""
-    return spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    return _read_text(spark, path, schema, True, line_breaks)
 
 
-def read_all_strings(spark: SparkSession, path: str) -> DataFrame:
+def read_all_strings(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     """Comma text with a header line, every column left as text."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return _read_text(spark, path, None, True, line_breaks)
 
 
 def read_employees(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -90,9 +110,10 @@ def collection_profile(collections: Mapping[str, DataFrame]) -> DataFrame:
 
 def collection_samples(collections: Mapping[str, DataFrame], n: int = 3,
                        order: str = "_id") -> DataFrame:
-    """The first ``n`` documents of every collection as JSON text."""
+    """The first ``n`` documents of every collection as JSON text, by ``order`` and then by
+    that text, so that documents with one id have an order too."""
     parts = [
-        df.orderBy(order).limit(n).select(
+        df.orderBy(order, F.to_json(F.struct(*df.columns))).limit(n).select(
             F.lit(name).alias("collection"), F.to_json(F.struct(*df.columns)).alias("document")
         )
         for name, df in collections.items()
