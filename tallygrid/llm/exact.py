@@ -14,7 +14,8 @@ from tallygrid.llm.common import OWN, own_hash, stored, without, without_blanks
 from tallygrid.operators.spread import attach
 
 PREFIX = 64
-FILTER_WORDS = 1 << 16  # of 64 bits: half a megabyte, whatever the input
+FILTER_WORDS = 1 << 19  # of 64 bits, at most: 4 MB
+LOAD = 8  # bits of the filter for each key, at least
 
 
 def _shared(rows: DataFrame, *keys: str) -> DataFrame:
@@ -22,20 +23,20 @@ def _shared(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n > 1").drop("__n")
 
 
-def _spot() -> Column:
-    return F.pmod(F.xxhash64("length", "start"), F.lit(FILTER_WORDS * 64))
+def _spot(words: int) -> Column:
+    return F.pmod(F.xxhash64("length", "start"), F.lit(words * 64))
 
 
-def _filter_bits(keys: DataFrame) -> DataFrame:
-    """One row, one array of ``FILTER_WORDS`` longs in which the keys' bits are set."""
-    set_bits = keys.select(_spot().alias("spot")).select(
+def _filter_bits(keys: DataFrame, words: int) -> DataFrame:
+    """One row, one array of ``words`` longs in which the keys' bits are set."""
+    set_bits = keys.select(_spot(words).alias("spot")).select(
         F.floor(F.col("spot") / 64).cast("long").alias("word"),
         F.expr("shiftleft(1L, cast(spot % 64 as int))").alias("bit"))
-    no_bits = keys.sparkSession.range(FILTER_WORDS).select(
+    no_bits = keys.sparkSession.range(words).select(
         F.col("id").alias("word"), F.lit(0).cast("long").alias("bit"))
-    words = no_bits.unionByName(set_bits).groupBy("word").agg(F.bit_or("bit").alias("bit"))
+    joined = no_bits.unionByName(set_bits).groupBy("word").agg(F.bit_or("bit").alias("bit"))
     in_order = F.array_sort(F.collect_list(F.struct("word", "bit")))
-    return words.agg(F.transform(in_order, lambda x: x["bit"]).alias("bits"))
+    return joined.agg(F.transform(in_order, lambda x: x["bit"]).alias("bits"))
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -46,15 +47,23 @@ def hashed(docs: DataFrame) -> DataFrame:
         F.coalesce(F.length("text"), F.lit(0)).alias("points"))
 
 
-def possible_copies(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
+def possible_copies(docs: DataFrame, prefix: int = PREFIX, filter_words: int = FILTER_WORDS) -> DataFrame:
     """``hashed`` for the documents that share length and prefix with another one, and
-    for the few that only fall on a bit that another (length, prefix) has set."""
+    for the few that only fall on a bit that another (length, prefix) has set.
+
+    The filter has ``LOAD`` bits or more for each shared key. Where that would take more
+    than ``filter_words``, documents are joined with the keys instead."""
     bare = without_blanks(F.col("text"))
     sketch = (F.length(bare).alias("length"), F.xxhash64(F.substring(bare, 1, prefix)).alias("start"))
     light = stored(docs.select(*sketch), "exact-sketches")
     same_length = attach(light, _shared(light, "length"), ["length"], "left_semi")
-    bits = stored(_filter_bits(_shared(same_length, "length", "start")), "exact-filter")
-    marked = docs.select("doc_id", "text", *sketch).withColumn("__spot", _spot()).withColumn(
+    keys = stored(_shared(same_length, "length", "start"), "exact-keys")
+    words = 1 << max(6, (keys.count() * LOAD // 64).bit_length())
+    texts = docs.select("doc_id", "text", *sketch)
+    if words > filter_words:
+        return hashed(attach(texts, keys, ["length", "start"], "left_semi"))
+    bits = stored(_filter_bits(keys, words), "exact-filter")
+    marked = texts.withColumn("__spot", _spot(words)).withColumn(
         "__word", F.element_at(bits.scalar(), (F.floor(F.col("__spot") / 64) + 1).cast("int")))
     return hashed(marked.filter("shiftright(__word, cast(__spot % 64 as int)) & 1 = 1"))
 
@@ -78,18 +87,23 @@ def copy_groups(candidates: DataFrame) -> DataFrame:
 def exact_copies(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 for every row of ``docs``.
 
-    The first pass over the texts shuffles lengths and prefix hashes, the second hashes
-    in full what the first could not tell apart. A corpus that fills the filter between
-    them hashes more, with the same result. The hash of texts without a copy is worked
+    One row of each group is kept. Of rows that are alike in id and text one is, whichever;
+    of rows with one id, as many code points and different white space, the one with the
+    smaller hash. Rows are counted before they are joined, so that copies of a row travel
+    once. The first pass over the texts shuffles lengths and prefix hashes, the second hashes
+    in full what the first could not tell apart. The hash of texts without a copy is worked
     out for the report alone. An empty table gives an empty result.
     """
     groups = copy_groups(possible_copies(docs))
-    found = attach(hashed(docs), groups, ["text_sha256"])
+    alike = hashed(docs).groupBy("doc_id", OWN, "text_sha256").agg(F.count("*").alias("__times"))
+    found = attach(alike, groups, ["text_sha256"])
     alone = F.col("group_size").isNull()
     keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    best = alone | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col(OWN) == F.col("keep_own")))
     return found.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
+        best.alias("best"), "text_sha256", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))).alias("place")).select(
+        "doc_id", "keep_id", "group_size", (F.col("best") & (F.col("place") == 1)).alias("kept"), "text_sha256")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:

@@ -15,11 +15,12 @@ HELD_OUT = 1  # the remainder of a document's id hash by 3 that is not learned f
 
 
 def held_out():
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == HELD_OUT
+    """A row without an id has no such hash and is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == HELD_OUT, F.lit(False))
 
 
 def language_model(docs: DataFrame) -> language.Model:
-    return language.fit(docs.filter(~F.coalesce(held_out(), F.lit(False))))
+    return language.fit(docs.filter(~held_out()))
 
 
 def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,10 +90,10 @@ SQL: dict[str, str] = {
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_BARE}) AS text_sha256, length(coalesce(text, '')) AS points
                    FROM documents),
-             g AS (SELECT *, first_value(doc_id) OVER (
-                       PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
-                       count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
-        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g
+             g AS (SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place,
+                       count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d
+                   WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST))
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
     """,
     "op7_substring_dedup": """
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
