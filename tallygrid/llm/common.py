@@ -59,6 +59,16 @@ def with_facts(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "lef
 OWN = "__own"
 
 
+#: All columns of a row, while others stand beside them.
+ROW = "__row"
+
+
+def with_row(docs: DataFrame, *others: str) -> DataFrame:
+    """doc_id, the text's hash, ``others``, and the whole row by itself, so that no name in
+    it can clash with a name that is added."""
+    return docs.select("doc_id", own_hash(), *others, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(ROW))
+
+
 def own_hash() -> Column:
     return F.xxhash64("text").alias(OWN)
 
@@ -68,7 +78,7 @@ def without(docs: DataFrame, gone: DataFrame, ids: DataFrame) -> DataFrame:
     an id and its text stays once. ``ids`` has both of every row that may repeat: texts are
     only shuffled to look for repeated rows if there are any."""
     keys = ["doc_id", OWN]
-    left = with_facts(docs.select("*", own_hash()), gone, keys, "left_anti").drop(OWN)
+    left = with_facts(with_row(docs), gone, keys, "left_anti").select(f"{ROW}.*")
     repeated = ids.groupBy(*keys).count().filter("count > 1")
     return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
 

@@ -15,13 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrid.llm.common import OWN, WORD, n_words, own_hash, stored, with_facts
+from tallygrid.llm.common import OWN, ROW, n_words, own_hash, stored, with_facts, with_row
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
-BLOCKS = 1024
-SHARDS = 16
+BLOCKS = 1024  # of a source at least
+DOCUMENTS = 8192  # of a block at most, on average, as the table grows
+SHARD_WORDS = 4_000_000  # of an output shard at most
+PLACED = 200_000  # block copies that one task puts in order
 SEED = 20
 
 
@@ -88,34 +90,63 @@ def _quotas(per_block: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def _power_of_two(least: int) -> int:
+    return 1 << max(0, least - 1).bit_length()
+
+
+def _halved(units: DataFrame, level: int, many: int, seed: int) -> DataFrame:
+    """Send the block copies of each node to its left or right child, half each, by an
+    order of the node's own. Where a node has more than ``PLACED`` copies (of ``many`` in
+    the level's largest), they are ranked within ranges of the order, and ranges are counted."""
+    place = _order("source", "block", "copy", seed=seed + level)
+    node = Window.partitionBy("node")
+    if many <= PLACED:
+        drawn = node.orderBy(place, "source", "block", "copy")
+        right = (F.row_number().over(drawn) * 2 > F.count("*").over(node) + 1).cast("int")
+        return units.withColumn("node", F.col("node") * 2 + right)
+    ranges = _power_of_two(-(-many // PLACED))
+    ranged = units.withColumn("__range", F.shiftright(place, 64 - ranges.bit_length() + 1) if ranges > 1 else F.lit(0))
+    counts = ranged.groupBy("node", "__range").agg(F.count("*").alias("__n"))
+    before = node.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).withColumn(
+        "__all", F.sum("__n").over(node)).drop("__n")
+    inside = Window.partitionBy("node", "__range").orderBy(place, "source", "block", "copy")
+    rank = F.col("__before") + F.row_number().over(inside)
+    right = (rank * 2 > F.col("__all") + 1).cast("int")
+    return ranged.join(counts, ["node", "__range"]).withColumn("__right", right).select(
+        "source", "block", "copy", (F.col("node") * 2 + F.col("__right")).alias("node"))
+
+
 def _shards(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     """The shard of each copy of each block: (source, block, shards), one entry a copy."""
     copies = F.col("full") + F.col("extra_left").isNotNull().cast("long")
     units = quotas.filter((copies > 0) & (F.col("words") > 0)).select(
         "source", "block", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"),
         F.lit(0).alias("node"))
-    size, level = shards, 0
-    while size > 1:
-        level += 1
-        node = Window.partitionBy("node")
-        drawn = node.orderBy(_order("source", "block", "copy", seed=seed + level), "source", "block", "copy")
-        right = (F.row_number().over(drawn) * 2 > F.count("*").over(node) + 1).cast("int")
-        units = units.withColumn("node", F.col("node") * 2 + right)
-        size //= 2
+    many = units.count() if shards > 1 else 0
+    for level in range(1, shards.bit_length()):
+        units = _halved(units, level, many, seed)
+        many = -(-many // 2)
     return units.groupBy("source", "block").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("copy", "node"))), lambda x: x["node"]).alias(
             "shards"))
 
 
-def _planned(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
-        most: float = MOST, blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """``mix`` with the source and the hash of the text of each row."""
+def _planned(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
+             blocks: int | None = None, shards: int | None = None, seed: int = SEED, whole: bool = False) -> DataFrame:
+    """``mix`` with the source and the hash of the text of each row. ``whole``: documents at
+    the edge of a quota are taken whole or left, whichever is nearer to it."""
     # A null id hashes as nothing: rows without an id are told apart by their texts.
     alone = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    block = F.pmod(_order("doc_id", alone, seed=seed), F.lit(blocks)).cast("int")
     sized = stored(
-        docs.select("doc_id", own_hash(), "source", n_words(F.col("text")).alias("size"), block.alias("block")),
-        "mix-sizes")
+        docs.select("doc_id", own_hash(), "source", n_words(F.col("text")).alias("size"),
+                    _order("doc_id", alone, seed=seed).alias("spot")), "mix-sizes")
+    rows, words = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    if blocks is None:
+        blocks = max(BLOCKS, _power_of_two(-(-rows // DOCUMENTS)))
+    if shards is None:
+        shards = _power_of_two(-(-int(words * share) // SHARD_WORDS))
+    sized = sized.withColumn("block", F.pmod("spot", F.lit(blocks)).cast("int")).drop("spot")
     per_block = stored(
         sized.groupBy("source", "block").agg(F.sum("size").alias("words")), "mix-blocks")
     sizes = per_block.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -128,19 +159,22 @@ def _planned(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
         .orderBy(_order("doc_id", F.when(F.col("doc_id").isNull(), F.col(OWN)), seed=seed + 1), "doc_id", "size", OWN)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    whole = placed.filter(~edge).withColumn(
+    inner = placed.filter(~edge).withColumn(
         "extra", F.when(F.col("extra_left").isNotNull(), F.col("size")).otherwise(0))
     room = F.col("extra_left") - F.coalesce(F.sum("size").over(earlier), F.lit(0))
-    cut = placed.filter(edge).withColumn("extra", F.least(F.col("size"), F.greatest(room, F.lit(0))))
+    extra = F.least(F.col("size"), F.greatest(room, F.lit(0)))
+    if whole:
+        extra = F.when(extra * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0))
+    cut = placed.filter(edge).withColumn("extra", extra)
     taken = F.col("full") * F.col("size") + F.col("extra")
     copies = (F.when(F.col("size") > 0, F.col("full")).otherwise(0) + (F.col("extra") > 0).cast("int")).cast("int")
-    return whole.unionByName(cut).select(
+    return inner.unionByName(cut).select(
         "doc_id", OWN, "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
         F.coalesce(F.slice("shards", F.lit(1), copies), F.array().cast("array<int>")).alias("shards"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
-        most: float = MOST, blocks: int = BLOCKS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
+        blocks: int | None = None, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """How many words of each document the mix takes, and into which shards.
 
     Columns: doc_id, size, source_size, target (the source's), taken (words, repeats
@@ -151,7 +185,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
     ``blocks`` a source bounds all that is ordered in one task: the block table has
     ``blocks`` rows a source, and documents are ordered in one block a source. ``shards``
-    is a power of two. Null text and text without words have size 0 and are not taken;
+    is a power of two. Both grow with the table unless they are given. Null text and text without words have size 0 and are not taken;
     a null source is a source; a null id is an id; repeated rows are rows of their own.
     An empty table gives an empty result. Only doc_id, text and source are read.
     """
@@ -160,24 +194,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: a row of ``docs``, with its columns, for each copy taken, dealt
-    out by shard and shuffled inside each. Where a quota's edge cuts a copy, its text is
-    the first words, joined by one space. Rows that repeat an id are given as often as
-    they stand."""
+    out by shard and shuffled inside each. No text is cut: at the edge of a source's quota
+    a document is taken whole or left, whichever is nearer. Rows that repeat an id are
+    given as often as they stand."""
     keys = ["doc_id", OWN, "source"]
-    copies = _planned(docs, **how).filter(F.size("shards") > 0).select(
-        *keys, F.posexplode("shards").alias("__copy", "__shard"),
-        (F.col("taken") - F.col("__copy") * F.col("size")).alias("__room"), F.col("size").alias("__size"))
+    copies = _planned(docs, whole=True, **how).filter(F.size("shards") > 0).select(
+        *keys, F.posexplode("shards").alias("__copy", "__shard"))
     # Rows that are equal by all keys share one text, which their copies are joined to.
-    marked = docs.select("*", own_hash())
+    marked = with_row(docs, "source")
     if not marked.groupBy(*keys).count().filter("count > 1").isEmpty():
         marked = marked.dropDuplicates(keys)
     rows = with_facts(marked, copies, keys, "inner")
-    first = F.array_join(
-        F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), F.lit(1), F.col("__room").cast("int")), " ")
     seed = how.get("seed", SEED)
+    shards = 1 + (copies.agg(F.max("__shard")).first()[0] or 0)
     return (
-        rows.withColumn("text", F.when(F.col("__room") < F.col("__size"), first).otherwise(F.col("text")))
-        .repartition("__shard")
+        rows.repartitionById(shards, F.col("__shard"))
         .sortWithinPartitions("__shard", _order("doc_id", OWN, "__copy", seed=seed))
-        .select(*docs.columns)
+        .select(f"{ROW}.*")
     )

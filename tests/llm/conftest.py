@@ -37,7 +37,8 @@ def odd(docs_of, odd_rows):
     from pyspark.sql import functions as F
 
     names = ("size", "target", "taken", "block", "n", "start", "length", "kept", "group_size", "score",
-             "place", "ids", "words", "spans", "base", "shards", "component_id", "__n", "text_sha256")
+             "place", "ids", "words", "spans", "base", "shards", "component_id", "__n", "text_sha256",
+             "__own", "__copy", "__shard", "__room", "__size", "__fact_doc_id", "__row", "__spot", "__times")
     return docs_of(*odd_rows).withColumns({n: F.lit("x") for n in names})
 
 

@@ -80,11 +80,37 @@ def test_shards_get_even_loads_and_their_sources_vary(real_docs):
     assert set(loads) == {0, 1, 2, 3} and max(loads.values()) < 2 * min(loads.values())
 
 
-def test_documents_of_the_mix_have_the_words_taken(real_docs):
-    plan = {r["doc_id"]: r["taken"] for r in mixing.mix(real_docs).collect()}
-    got = Counter()
+def test_documents_of_the_mix_are_whole(real_docs, real_rows):
+    """Each copy has its text unchanged; only a quota's edge is rounded to whole documents."""
+    plan = {r["doc_id"]: (r["taken"], r["size"]) for r in mixing.mix(real_docs).collect()}
     mixed = mixing.mixed_documents(real_docs)
     assert mixed.columns == real_docs.columns
-    for r in mixed.collect():
-        got[r["doc_id"]] += words(r["text"])
-    assert {d: n for d, n in plan.items() if n} == dict(got)
+    got = Counter(tuple(r) for r in mixed.collect())
+    assert set(got) <= set(real_rows)
+    copies = Counter()
+    for row, n in got.items():
+        copies[row[0]] += n
+    sources = {r[0]: r[3] for r in real_rows}
+    off = {d for d, (taken, size) in plan.items() if copies[d] * size != taken}
+    assert all(copies[d] == (2 * plan[d][0] + plan[d][1]) // (2 * plan[d][1]) for d in off)
+    assert max(Counter(sources[d] for d in off).values(), default=0) <= 1
+
+
+def test_many_shards_and_ranked_ranges(real_docs, monkeypatch):
+    """Copies of blocks that are ranked by ranges are split as those in one order."""
+    plain = sorted(map(tuple, mixing.mix(real_docs, blocks=64, shards=16).collect()))
+    monkeypatch.setattr(mixing, "PLACED", 50)
+    assert sorted(map(tuple, mixing.mix(real_docs, blocks=64, shards=16).collect())) == plain
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 2000)
+    shards = {s for r in mixing.mix(real_docs).collect() for s in r["shards"]}
+    assert max(shards) >= 16
+    assert mixing.mixed_documents(real_docs).count() == sum(
+        len(r["shards"]) for r in mixing._planned(real_docs, whole=True).collect())
+
+
+def test_clashing_names(docs_of):
+    from pyspark.sql import functions as F
+
+    names = ("size", "target", "taken", "spot", "words", "full", "node", "copy", "shards", "block", "source_size")
+    docs = docs_of("a b c", "d e", None).withColumns({n: F.lit("x") for n in names})
+    assert mixing.mixed_documents(docs).columns == docs.columns
