@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.llm.byte_tokens import IDS, byte_tokens
@@ -30,6 +30,7 @@ BLOCK = 2048  # documents that are packed together, on average
 WELL_FILLED = 0.995
 EMPTIED = 0.3  # of the ill-filled bins of a child
 LEVELS = 6
+ISLANDS = 16  # that one task evolves
 ROW_BITS = 39  # of a piece's number, for the pieces of one task
 
 
@@ -170,8 +171,9 @@ _ISLAND_SCHEMA = pa.schema([
     ("guest", pa.binary()), ("bins", pa.int32()), ("squares", pa.int64())])
 
 
-def _evolved(blocks: DataFrame, length: int, how: Evolution, level: int) -> DataFrame:
-    """The best packing of each block: block and best."""
+def _evolved(blocks: DataFrame, count: int, length: int, how: Evolution, level: int) -> DataFrame:
+    """The best packing of each of ``count`` blocks: block and best."""
+    tasks = -(-count * how.islands // ISLANDS)  # given as a number, as rows are small and work is not
     none = {"people": F.lit(None).cast("array<binary>"), "guest": F.lit(None).cast("binary"),
             "bins": F.lit(0), "squares": F.lit(0).cast("long")}
     names = [c.split(" ")[0] for c in _ISLAND.split(", ")]
@@ -182,7 +184,7 @@ def _evolved(blocks: DataFrame, length: int, how: Evolution, level: int) -> Data
             elites = states.select("block", ((F.col("island") + 1) % how.islands).cast("int").alias("island"),
                                    F.element_at("people", 1).alias("guest"))
             states = states.drop("guest").join(elites, ["block", "island"]).select(names)
-        states = stored(states.repartition("block", "island").mapInArrow(
+        states = stored(states.repartition(tasks, "block", "island").mapInArrow(
             _evolve(length, how, level, turn), _ISLAND), f"bins-{level}-{turn}")
     return states.groupBy("block").agg(
         F.min_by(F.element_at("people", 1), F.struct("bins", "squares", "island")).alias("best"))
@@ -229,7 +231,7 @@ def placed(items: DataFrame, length: int = LENGTH, block: int = BLOCK, how: Evol
             .agg(F.sort_array(F.collect_list(F.struct("length", "row")), asc=False).alias("items"))
             .select("block", F.col("items.length").cast("array<int>").alias("sizes"), F.col("items.row").alias("rows")),
             f"bins-blocks-{level}")
-        best = _evolved(dealt, length, how, level)
+        best = _evolved(dealt, blocks, length, how, level)
         found = stored(dealt.join(best, "block").mapInArrow(
             _places(length, level), "row long, length long, number long, offset long, fill long"), f"bins-{level}")
         last = blocks == 1 or level == levels - 1
