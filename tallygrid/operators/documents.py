@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,3 +86,29 @@ def flat_sales(docs: DataFrame) -> DataFrame:
         F.col("location.region").alias("region"),
         F.col("sales_rep").alias("salesperson"),
     )
+
+
+def variant_documents(lines: DataFrame, text: str = "value") -> DataFrame:
+    """JSON text as ``doc``, a variant: no schema is declared or inferred, and a field keeps
+    whatever type it has in each document. Text that is no JSON gives null."""
+    return lines.select(F.try_parse_json(text).alias("doc"))
+
+
+def variant_field(paths: Sequence[str], kind: str, doc: str = "doc") -> Column:
+    """The first of ``paths`` that a document has, as ``kind``: numbers and text turn into one
+    another where that can be done, and are null where not."""
+    return F.coalesce(*(F.try_variant_get(F.col(doc), path, kind) for path in paths))
+
+
+def doc_variant_rollup(docs: DataFrame, category: Sequence[str] = ("$.product.category", "$.item.kind"),
+                       amount: Sequence[str] = ("$.sale_info.total_amount", "$.amount")) -> DataFrame:
+    """``doc_category_rollup`` over documents of several shapes, in one scan: a category and
+    an amount may stand at different places, the amount as a number or as text."""
+    flat = docs.select(variant_field(category, "string").alias("category"),
+                       variant_field(amount, "double").alias("amount"))
+    return flat.groupBy("category").agg(rows().alias("total_transactions"), exact_sum("amount").alias("total_sales"))
+
+
+def variant_schema(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """The schema of all documents together, as text: one row."""
+    return docs.agg(F.schema_of_variant_agg(doc).alias("schema"))

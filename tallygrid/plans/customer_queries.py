@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tallygrid.operators import customers as ops
 from tallygrid.operators import quality
+from tallygrid.operators.asof import as_of_join
+from tallygrid.operators.sketches import daily_sketches, distinct_in_spans, standard_error
 from tallygrid.plans.catalog import query
 from tallygrid.plans.oracle import deviation, int_mean, mean, over, total
 from tallygrid.plans.sales_queries import COLUMNS
@@ -154,3 +156,41 @@ UNION ALL
 SELECT 'email', email, count(*) FROM cust GROUP BY email HAVING count(*) > 1"""))
 def _(star):
     return quality.dq_unique_keys(star.customer_documents(), ("customer_id", "email"))
+
+
+#: The state of a customer's document is that of the customer's latest order before the sale's day.
+@query("sales_as_of_customer", over("""
+WITH versions AS (
+SELECT o_custkey::varchar AS customer_id, o_orderdate::date AS valid_from,
+       max(struct_pack(k := o_orderkey, p := o_orderpriority, t := o_totalprice)) AS v
+FROM orders GROUP BY ALL)
+SELECT transaction_id, s.customer_id, sale_date, v.p AS last_priority, v.t AS last_total
+FROM (SELECT transaction_id, customer_id, sale_date FROM sales) s
+ASOF LEFT JOIN versions ON s.customer_id = versions.customer_id AND s.sale_date > versions.valid_from"""))
+def _(star):
+    orders = star.table("orders").select(
+        F.col("o_custkey").cast("string").alias("customer_id"), F.col("o_orderdate").cast("date").alias("valid_from"),
+        "o_orderkey", F.col("o_orderpriority").alias("last_priority"), F.col("o_totalprice").alias("last_total"))
+    return as_of_join(star.sales("transaction_id", "customer_id", "sale_date"), orders, "customer_id", "sale_date",
+                      "valid_from", ["last_priority", "last_total"], strict=True, newest=["o_orderkey"])
+
+
+@query("customers_of_spans", over("""
+WITH spans AS (
+SELECT 'month ' || strftime(sale_date, '%Y-%m') AS label, customer_id FROM sales UNION ALL
+SELECT 'year ' || strftime(sale_date, '%Y'), customer_id FROM sales)
+SELECT label, count(DISTINCT customer_id) AS customers, true AS within_bound FROM spans GROUP BY label"""))
+def _(star):
+    """Distinct customers of every month and year, exactly and from daily sketches; whether the
+    sketches are within five standard errors."""
+    sales = star.sales("customer_id", "sale_date")
+    days = sales.groupBy("sale_date").agg(F.lit(1).alias("n"))
+    label = F.explode(F.array(F.concat(F.lit("month "), F.date_format("sale_date", "yyyy-MM")),
+                              F.concat(F.lit("year "), F.date_format("sale_date", "yyyy"))))
+    spans = days.select(label.alias("label"), "sale_date").groupBy("label").agg(
+        F.min("sale_date").alias("first_day"), F.max("sale_date").alias("last_day"))
+    estimated = distinct_in_spans(daily_sketches(sales, "sale_date", "customer_id"), spans, name="estimate")
+    exact = sales.distinct().select(label.alias("label"), "customer_id").groupBy("label").agg(
+        F.count_distinct("customer_id").alias("customers"))
+    off = F.abs(F.col("estimate") - F.col("customers")) <= F.ceil(5 * standard_error() * F.col("customers"))
+    return exact.join(estimated, "label", "left").select("label", "customers", F.coalesce(off, F.lit(False)).alias("within_bound"))

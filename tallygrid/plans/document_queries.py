@@ -99,3 +99,43 @@ FROM docs"""))
 def _(star):
     return ops.export_sales(star.documents(
         "product_name", "category", "total_amount", "region", "sale_date"))
+
+
+def two_shapes(star):
+    """The documents as JSON text: the later half by order key has other names, and its
+    amounts are text."""
+    amount = F.when(F.col("l_orderkey") % 19 != 0, F.col("l_extendedprice"))
+    named = star.table("lineitem").join(star.table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    kind = F.when(F.col("l_partkey") % 17 != 0, F.col("p_type"))
+    early = F.to_json(F.struct(F.struct(kind.alias("category")).alias("product"),
+                               F.struct(amount.alias("total_amount")).alias("sale_info")))
+    late = F.to_json(F.struct(F.struct(kind.alias("kind")).alias("item"),
+                              F.format_string("%.2f", amount).alias("amount"),
+                              F.array(F.col("l_linenumber")).alias("lines")))
+    text = F.when(F.col("l_orderkey") % 2 == 0, early).otherwise(late)
+    return named.select(F.when(amount.isNull() & (F.col("l_orderkey") % 2 == 1), F.to_json(F.struct(
+        F.struct(kind.alias("kind")).alias("item")))).otherwise(text).alias("value"))
+
+
+@query("doc_variant_rollup", over(f"""
+SELECT category, count(*) AS total_transactions, {total('total_amount')} AS total_sales
+FROM docs GROUP BY category"""))
+def _(star):
+    return ops.doc_variant_rollup(ops.variant_documents(two_shapes(star)))
+
+
+@query("doc_variant_fields", over("""
+SELECT field, n FROM (
+  SELECT count(*) FILTER (WHERE l_orderkey % 2 = 0 AND total_amount IS NOT NULL) AS number,
+         count(*) FILTER (WHERE l_orderkey % 2 = 1 AND total_amount IS NOT NULL) AS text,
+         count(*) FILTER (WHERE total_amount IS NULL) AS missing
+  FROM (SELECT l_orderkey, CASE WHEN l_orderkey % 19 <> 0 THEN total_amount END AS total_amount FROM sales))
+UNPIVOT (n FOR field IN (number, text, missing))"""))
+def _(star):
+    """How the documents hold their amount."""
+    docs = ops.variant_documents(two_shapes(star))
+    number = F.try_variant_get("doc", "$.sale_info.total_amount", "double").isNotNull()
+    text = F.try_variant_get("doc", "$.amount", "string").isNotNull()
+    counts = docs.agg(F.count_if(number).alias("number"), F.count_if(text).alias("text"),
+                      F.count_if(~number & ~text).alias("missing"))
+    return counts.unpivot([], ["number", "text", "missing"], "field", "n")

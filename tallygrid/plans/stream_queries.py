@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallygrid.functions.dates import utc_reading
 from tallygrid.plans.catalog import query
 from tallygrid.plans.oracle import total
 from tallygrid.streaming import events as ev
-from tallygrid.streaming.run import drained, drained_to_the_end
+from tallygrid.streaming.run import drained, drained_to_the_end, stream_session
 
 
-def stream(star, positions=None):
-    return ev.event_stream(star.spark, star.folder, "events.parquet", positions=positions)
+def stream(star, positions=None, session=None):
+    return ev.event_stream(session or stream_session(star.spark), star.folder, "events.parquet", positions=positions)
 
 
 def zoneless(df):
@@ -39,11 +41,25 @@ def _(star):
 
 @query("stream_dedup", "SELECT DISTINCT ON (event_id) * FROM events")
 def _(star):
-    twice = stream(star, "place").unionByName(stream(star, "place"))
+    """Each event twice, the copies at places one apart, so that they take two lanes."""
+    own = stream_session(star.spark)
+    copies = stream(star, "place", own).withColumn("place", F.col("place") + 1)
+    twice = stream(star, "place", own).unionByName(copies)
     once = ev.stream_dedup(twice, late="40 days", positions="place")
     return zoneless(drained(star.spark, once, "dedup"))
 
 
+@query("stream_matched", """
+SELECT a.user_id, a.event_id AS cause_id, b.event_id AS effect_id
+FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'purchase'
+  AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 36 HOUR""")
+def _(star):
+    """Views and the purchases of the same user in the next 36 hours."""
+    own = stream_session(star.spark)
+    kinds = [stream(star, session=own).where(F.col("event_type") == kind) for kind in ("view", "purchase")]
+    return drained(star.spark, ev.stream_matched(*kinds, within=36 * 3600), "matched", late="fail")
+
+
 @query("stream_anomalies", """
 SELECT *, 'HIGH_VALUE' AS anomaly_type FROM events WHERE value > 200""")
 def _(star):

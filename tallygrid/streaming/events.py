@@ -77,3 +77,26 @@ def stream_dedup(events: DataFrame, late: str = "1 day", key: str = "event_id",
 
 def stream_anomalies(events: DataFrame, max_value: float, tag: str = "HIGH_VALUE") -> DataFrame:
     return events.where(F.col("value") > max_value).withColumn("anomaly_type", F.lit(tag))
+
+
+def stream_matched(causes: DataFrame, effects: DataFrame, within: int, late: str = "1 day",
+                   key: str = "user_id") -> DataFrame:
+    """Every cause with every effect of the same ``key`` from its moment to ``within`` seconds
+    after it: the key and both event ids.
+
+    Both streams have a watermark, so state older than a match can be is dropped. Time is cut
+    into buckets of ``within``; a cause is kept in its own and in the next, in one of which
+    each of its effects is. So a busy user's events are spread over tasks.
+    """
+    bucket = F.floor(F.unix_micros("ts") / (within * 1_000_000))
+    first = causes.withWatermark("ts", late).select(
+        F.col(key).alias("__key"), F.col("event_id").alias("cause_id"), F.col("ts").alias("cause_ts"),
+        F.explode(F.array(bucket, bucket + 1)).alias("__cause_bucket"))
+    second = effects.withWatermark("ts", late).select(
+        key, F.col("event_id").alias("effect_id"), F.col("ts").alias("effect_ts"), bucket.alias("__bucket"))
+    match = (
+        (F.col("__key") == F.col(key)) & (F.col("__cause_bucket") == F.col("__bucket"))
+        & (F.col("effect_ts") >= F.col("cause_ts"))
+        & (F.col("effect_ts") <= F.col("cause_ts") + F.make_dt_interval(secs=F.lit(within)))
+    )
+    return first.join(second, match).select(key, "cause_id", "effect_id")
