@@ -12,9 +12,27 @@ _made: dict[str, SparkSession] = {}
 
 
 def shared_base(spark: SparkSession) -> str:
-    """The shared folder that the cluster names, else one beside the session's tables."""
+    """The shared folder that the cluster names, else one beside the session's tables.
+
+    On a cluster a folder on a local disk is another one for each executor, so without a
+    named folder the tables must not be there."""
     base = spark.conf.get(SETTING, None)
-    return base.rstrip("/") if base else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if base:
+        return base.rstrip("/")
+    tables = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not on_one_machine(spark.sparkContext.master) and is_local(spark, tables):
+        raise RuntimeError(f"set {SETTING} to a folder that all executors share: {tables} is local to each machine")
+    return f"{tables}/scratch"
+
+
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def is_local(spark: SparkSession, folder: str) -> bool:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).getScheme() == "file"
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

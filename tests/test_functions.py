@@ -1,3 +1,7 @@
+import math
+import statistics
+from fractions import Fraction
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -33,6 +37,31 @@ def test_exact_sum_passes_the_range_of_a_long(spark):
     assert df.agg(money.exact_sum("x").alias("s")).first()["s"] == 40_000_000_000_002.5
 
 
+@pytest.mark.parametrize("values", [
+    [(i * 7919 % 1_000_003) / 100 for i in range(5_000)],
+    [1_000_000_000.01 + i / 100 for i in range(300)],
+    [-5.5, 1e7, 0.000001, -3.25],
+    [2.0, 2.0],
+])
+def test_exact_deviation_does_not_depend_on_order(spark, values):
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "x double")
+    found = {df.repartition(n).agg(money.exact_deviation("x").alias("s")).first()["s"] for n in (1, 7, 64)}
+    assert len(found) == 1
+    exact = statistics.stdev([Fraction(round(v * 10**6), 10**6) for v in values])
+    assert found.pop() == pytest.approx(float(exact), rel=1e-14)
+
+
+def test_deviation_of_few_and_of_odd_values(spark):
+    def of(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(money.exact_deviation("x").alias("s")).first()["s"]
+
+    assert of() is None and of(None) is None and of(5.0) is None and of(5.0, None) is None
+    assert of(1 / 3, 2 / 3, 5.0) == pytest.approx(statistics.stdev([1 / 3, 2 / 3, 5.0]))
+    assert of(8.9e12, -8.9e12) == pytest.approx(statistics.stdev([8.9e12, -8.9e12]))
+    assert of(1e15, 3e15) == pytest.approx(statistics.stdev([1e15, 3e15]))
+    assert math.isnan(of(float("nan"), 1.0))
+
+
 def test_exact_total_counts_repeated_values(spark):
     df = spark.createDataFrame([(1.25, 4), (-0.5, 3)], "x double, n bigint")
     assert float(df.agg(money.exact_total("x", times="n").alias("s")).first()["s"]) == 3.5

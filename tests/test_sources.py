@@ -102,3 +102,39 @@ def test_scratch_uses_the_named_folder_else_the_warehouse(spark):
 def test_schemas_cover_the_documents():
     assert [f.name for f in schemas.CUSTOMER_DOCUMENT][:3] == ["_id", "customer_id", "name"]
     assert "sale_info" in schemas.SALES_DOCUMENT.fieldNames()
+
+
+def test_scratch_is_not_on_a_local_disk_of_a_cluster(spark):
+    """A stand-in for a session on a cluster that names no shared folder."""
+
+    class Conf:
+        def get(self, name, default=None):
+            return default if name == scratch.SETTING else "file:///tmp/tables"
+
+    class Context:
+        master, _jvm, _jsc = "spark://somewhere:7077", spark.sparkContext._jvm, spark.sparkContext._jsc
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_base(Session())
+    Context.master = "local[2]"
+    assert scratch.shared_base(Session()) == "file:///tmp/tables/scratch"
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_cells_come_back_as_they_were(spark, folder, rows_of, header):
+    cells = ["  a ", '"x" said, ""', "\\b\\", "a\n b, c\n", "", None, " ", "r\rq", "r\r\nq", "\\", '"', '\\"', "\t", "é,日本"]
+    df = spark.createDataFrame([(i, c, c) for i, c in enumerate(cells)], "id long, name string, note string")
+    write = sinks.write_with_header if header else sinks.write_positional
+    read = tables.read_with_header if header else tables.read_positional
+    write(df, folder)
+    assert rows_of(read(spark, folder, df.schema, line_breaks=True)) == rows_of(df)
+
+
+def test_a_collection_is_replaced_through_its_format(spark, folder, rows_of):
+    for n in (3, 2):
+        df = spark.range(n).select(F.col("id").cast("string").alias("_id"), F.struct(F.col("id").alias("n")).alias("a"))
+        sinks.write_collection(df, "orc", {"compression": "zlib"}, folder)
+    assert rows_of(tables.read_collection(spark, folder, source="orc")) == rows_of(df)
