@@ -20,7 +20,7 @@ def shared_base(spark: SparkSession) -> str:
     if base:
         return base.rstrip("/")
     tables = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    if not on_one_machine(spark.sparkContext.master) and is_local(spark, tables):
+    if not on_one_machine(spark.conf.get("spark.master", "")) and (tables.startswith("file:") or "://" not in tables):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share: {tables} is local to each machine")
     return f"{tables}/scratch"
 
@@ -29,12 +29,6 @@ def on_one_machine(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 
 
-def is_local(spark: SparkSession, folder: str) -> bool:
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(context._jsc.hadoopConfiguration()).getScheme() == "file"
-
-
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A folder of its own, removed when the program ends with its session running."""
     folder = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"

@@ -104,23 +104,22 @@ def test_schemas_cover_the_documents():
     assert "sale_info" in schemas.SALES_DOCUMENT.fieldNames()
 
 
-def test_scratch_is_not_on_a_local_disk_of_a_cluster(spark):
-    """A stand-in for a session on a cluster that names no shared folder."""
-
-    class Conf:
+@pytest.mark.parametrize("master,tables,refused", [
+    ("spark://somewhere:7077", "file:///tmp/tables", True), ("yarn", "/tmp/tables", True), ("yarn", "hdfs://store/tables", False),
+    ("local[2]", "file:///tmp/tables", False), ("local", "file:///tmp/tables", False), ("local-cluster[2,1,1024]", "file:///t", True)])
+def test_scratch_is_not_on_a_local_disk_of_a_cluster(master, tables, refused):
+    class Conf(dict):
         def get(self, name, default=None):
-            return default if name == scratch.SETTING else "file:///tmp/tables"
-
-    class Context:
-        master, _jvm, _jsc = "spark://somewhere:7077", spark.sparkContext._jvm, spark.sparkContext._jsc
+            return dict.get(self, name, default)
 
     class Session:
-        conf, sparkContext = Conf(), Context()
+        conf = Conf({"spark.master": master, "spark.sql.warehouse.dir": tables})
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.shared_base(Session())
-    Context.master = "local[2]"
-    assert scratch.shared_base(Session()) == "file:///tmp/tables/scratch"
+    if refused:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch.shared_base(Session())
+    else:
+        assert scratch.shared_base(Session()) == f"{tables}/scratch"
 
 
 @pytest.mark.parametrize("header", [True, False])
