@@ -162,3 +162,11 @@ def test_row_level_reports_keep_any_other_columns(make_sales, rows_of):
                         (customers.customer_cohort(df), "customer_cohort")):
         assert got.columns[: len(df.columns)] == df.columns and result in got.columns
         assert rows_of(got, *extra) == [(7,) * len(extra)] * 2
+
+
+def test_approximate_counts_are_near_the_exact_ones(make_emp, make_sales):
+    sold = make_sales(*[{"customer_id": f"C{i}", "customer_name": f"N{i}", "region": "ab"[i % 2]} for i in range(60)])
+    for r in ops.mart_region(sold, approximate=True).collect():
+        assert abs(r["customers"] - 30) <= 3
+    got = {r["metric"]: r["value"] for r in report.executive_summary(make_emp({}), sold, approximate=True).collect()}
+    assert abs(int(got["Unique Customers"]) - 60) <= 6 and got["Unique Products"] == "1"
