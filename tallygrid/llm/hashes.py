@@ -17,6 +17,11 @@ def _of_word(word: bytes) -> int:
     return value
 
 
+def forget() -> None:
+    """Give up what this worker keeps, for a stage that keeps something else."""
+    _words.clear()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     known = _words.get
     return np.fromiter((known(w) or _of_word(w) for w in words), dtype=np.uint64, count=len(words))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tallygrid.llm.common import OWN, by_batch, in_slices, own_hash, stored, with_facts, without
 from tallygrid.llm.components import components
 from tallygrid.llm.hashes import joined, lot_of, packed, shingles, split_by
+from tallygrid.llm.tokens import forget as forget_tokens
 from tallygrid.operators.spread import attach
 
 WORDS = 5
@@ -53,6 +54,8 @@ def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, hash of the text, n_shingles, and class (null without shingles) of each row."""
 
     def make():
+        forget_tokens()
+
         def each(batch):
             for part in in_slices(batch, "text", 1 << 24):
                 sets = [shingles(t, words) for t in part["text"].to_pylist()]

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.llm import hashes
 from tallygrid.llm.common import by_batch, in_slices, stored
 from tallygrid.llm.tokens import IDS, VOCABULARY, public_path, tokens
 
@@ -59,6 +60,7 @@ def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def _encoded(path: str):
     def make():
+        hashes.forget()
         known = tokens(path)
         axes = _axes(1 << 16)
         end = np.array([END], dtype=IDS).tobytes()

@@ -89,3 +89,8 @@ def tokens(path: str, spelled_out: bool = False) -> Tokens:
     if (path, spelled_out) not in _kept:
         _kept[path, spelled_out] = Tokens(path, spelled_out)
     return _kept[path, spelled_out]
+
+
+def forget() -> None:
+    """Give up what this worker keeps, for a stage that keeps something else."""
+    _kept.clear()
