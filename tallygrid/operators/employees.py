@@ -122,10 +122,12 @@ def emp_department_count(emp: DataFrame) -> DataFrame:
 
 
 def emp_performance_windows(emp: DataFrame, as_of: dt.date | str | None = None,
-                            slots_per_octave: int = 128) -> DataFrame:
+                            slots_per_octave: int = 128, pay: DataFrame | None = None) -> DataFrame:
     """Every employee with the department's mean salary, the salary rank (highest
-    first, gaps after ties), the percent rank (lowest first) and years of service."""
-    known = attach(emp, standings(emp, "department", "salary", slots_per_octave),
+    first, gaps after ties), the percent rank (lowest first) and years of service.
+    ``pay`` may give department and salary of the same employees from a cheaper source."""
+    pay = emp if pay is None else pay
+    known = attach(emp, standings(pay, "department", "salary", slots_per_octave),
                    ["department", "salary"])
     others = F.col("__group_n") - 1
     return known.select(

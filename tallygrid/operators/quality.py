@@ -41,13 +41,10 @@ def dq_quarantine(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 
 def dq_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Values that occur more than once in a column that should be unique."""
-    parts = []
-    for key in keys:
-        counted = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("value"))
-        repeated = counted.agg(rows().alias("n")).where(F.col("n") > 1)
-        parts.append(repeated.select(F.lit(key).alias("key"), "value", "n"))
-    return reduce(DataFrame.unionByName, parts)
+    """Values that occur more than once in a column that should be unique; one scan for all keys."""
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys)))
+    values = df.select(each.alias("x")).select("x.key", "x.value").where(F.col("value").isNotNull())
+    return values.groupBy("key", "value").agg(rows().alias("n")).where(F.col("n") > 1)
 
 
 def dq_standardised(df: DataFrame, words: Sequence[str] = ("department", "status", "city"),

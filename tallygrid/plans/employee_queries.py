@@ -169,7 +169,7 @@ JUDGED_BY = ("department", "salary", "hire_date")
 
 
 def windows(star, *columns):
-    return emp.emp_performance_windows(staff(star, *columns), as_of=AS_OF)
+    return emp.emp_performance_windows(staff(star, *columns), as_of=AS_OF, pay=staff(star, "department", "salary"))
 
 
 def segments(star, *columns):
