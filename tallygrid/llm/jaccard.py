@@ -57,7 +57,7 @@ def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
         forget_tokens()
 
         def each(batch):
-            for part in in_slices(batch, "text", 1 << 24):
+            for part in in_slices(batch, "text", 1 << 22):
                 sets = [shingles(t, words) for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part[OWN], pa.array([len(s) for s in sets], pa.int64()),

@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrid.llm import hashes, tokens
 from tallygrid.llm.common import by_batch, in_slices, stored
 
 UNKNOWN = "und"
@@ -250,6 +251,8 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
+        hashes.forget()
+        tokens.forget()
         model = shared.value
 
         def each(batch):
