@@ -1,9 +1,9 @@
 """Find licence statements in text and the licence family of each.
 
 Method: a trained paragraph classifier. Word n-grams of a paragraph go into a sparse
-logistic regression over licence families, general licence wording and ordinary text. Its
-thresholds are calibrated on paragraphs kept out of training; what no class reaches is an
-unknown licence. A family counts only if the paragraph also matches one of the family's
+logistic regression over licence families, general licence wording and ordinary text, which
+every text of the table stands for. Its thresholds are calibrated on paragraphs kept out of
+training; what no class reaches is an unknown licence. A family counts only if the paragraph also matches one of the family's
 templates or has the family's name. Paragraphs end at blank lines; each is scored whole
 with its lines joined, by line and sentence, and, where a family is possible, in windows
 of neighbouring lines and sentences.
@@ -116,13 +116,15 @@ GENERAL = (
 )
 #: What pages end with, of whatever licence.
 FOOTERS = ("All rights reserved.",)
-#: Ordinary paragraphs with one of these are rare; more documents are read for them in training.
+#: Ordinary paragraphs with one of these are rare; each counts ``CUED`` times in training.
 CUES = r"(?i)licen[cs]|copyright|warrant|redistribut|permission|permitted|public domain|creative commons"
 
 FEATURES = 1 << 14
-SAMPLE = 300  # documents whose paragraphs stand for ordinary text, at most about so many
-CUED = 10  # times as many documents are read for paragraphs with a cue
-TRAINING_TASKS = 8  # for the sample, which is bounded; each pass over it is a job
+WEIGHS = 300  # beside what is taught, the ordinary text of a table counts as so many documents at most
+CUED = 10
+TRAINING_TASKS = 8  # at least; each pass over the training rows is a job
+TRAINING_ROWS = 100_000  # of a task, about: counted rows, each with a set of grams of its own
+STEPS = 10_000  # thresholds are whole steps, so that a share of any number of scores is found by counting
 MATCHED = 0.6  # of a template's word pairs that a paragraph must have
 LEAST = 0.5
 MOST = 0.9
@@ -160,35 +162,42 @@ _TAUGHT_WORDS = sorted(
 _NAMING = {w for names in SHORT.values() for name in names for w in _words_of(name)} - {"the", "version"} | {
     w for w in _TAUGHT_WORDS if re.search(r"licen[cs]|copyright|warrant|redistribut", w)}
 _TAUGHT_PAIRS = sorted({p for line in (*_LINES, *GENERAL, *_NAMED) for p in _pairs_of(line)})
+_SEEN = sorted({w for line in (*_LINES, *GENERAL, *_NAMED) for w in _words_of(line)})
 #: A unit with none of these has no feature but that all of its words are others.
-_TELLING = sorted({w for line in (*_LINES, *GENERAL, *_NAMED) for w in _words_of(line)} - _FUNCTION)
+_TELLING = sorted(set(_SEEN) - _FUNCTION)
 _FUNCTION_PAIRS = [p for p in _TAUGHT_PAIRS if set(p.split(" ")) <= _FUNCTION]
 
 
+def _tokens(text: Column) -> Column:
+    """The words in order, null for those that stand in nothing that is taught."""
+    return F.transform(words(text), lambda w: F.when(w.isin(_SEEN), w))
+
+
 def pairs(own: Column) -> Column:
-    """Each two words in a row, joined by a space; none of a single word."""
+    """Each two words in a row, joined by a space, null beside a null; none of a single word."""
     # No lambda looks into ``own``: where Spark inlines it, it would be made again for each word.
     n = F.greatest(F.size(own) - 1, F.lit(0))
-    return F.zip_with(F.slice(own, F.lit(1), n), F.slice(own, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
+    return F.zip_with(F.slice(own, F.lit(1), n), F.slice(own, F.lit(2), n), lambda a, b: F.when(
+        a.isNotNull() & b.isNotNull(), F.concat_ws(" ", a, b)))
 
 
 def _others(quarters: Column) -> Column:
     return F.concat(F.lit("other "), quarters.cast("string"))
 
 
-def _with_features(df: DataFrame, telling: bool = False) -> DataFrame:
-    """Features are the words and word pairs that were taught, and which share of the words was
-    not, so that ordinary words, of whatever language, cannot fall on those of a licence.
-    ``telling``: only rows with a telling word."""
-    if telling:  # by the text alone: Spark would move a filter on what is made from it down, and make it again
-        df = df.filter(_tells("paragraph"))
-    known = F.filter("words", lambda w: w.isin(_TAUGHT_WORDS))
-    foreign = F.ceil(4 * (F.size("words") - F.size("own")) / F.nullif(F.size("words"), F.lit(0)))
-    grams = df.withColumn("words", words(F.col("paragraph"))).withColumn("own", known).withColumn(
-        "hits", _hits(F.col("words"))).withColumn(
-        "grams", F.concat("own", F.filter(
-            "hits", lambda p: ~p.isin(_FUNCTION_PAIRS)), F.array(_others(F.coalesce(foreign, F.lit(4))))))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(_made_once(grams))
+def _with_grams(df: DataFrame) -> DataFrame:
+    """``hits`` and ``grams`` of ``tokens``. Grams are the words and word pairs that were taught, and
+    which share of the words was not, so that ordinary words, of whatever language, cannot fall on
+    those of a licence."""
+    known = F.filter("tokens", lambda w: w.isin(_TAUGHT_WORDS))
+    foreign = F.ceil(4 * (F.size("tokens") - F.size("own")) / F.nullif(F.size("tokens"), F.lit(0)))
+    made = _made_once(df.withColumn("own", known).withColumn("hits", _hits(F.col("tokens"))))
+    return made.withColumn("grams", F.array_sort(F.array_distinct(F.concat("own", F.filter(
+        "hits", lambda p: ~p.isin(_FUNCTION_PAIRS)), F.array(_others(F.coalesce(foreign, F.lit(4)))))))).drop("own", "tokens")
+
+
+def _with_features(df: DataFrame) -> DataFrame:
+    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(df)
 
 
 def _taught(spark: SparkSession) -> DataFrame:
@@ -207,13 +216,8 @@ def _taught(spark: SparkSession) -> DataFrame:
         "family", F.explode(F.transform(leads, lambda x: F.concat(x, "paragraph"))).alias("paragraph"))
 
 
-def _joined(text: Column) -> Column:
-    """The text with its lines joined by spaces, without marks that begin lines."""
-    return F.regexp_replace(text, rf"\s*\n{_MARKS}", " ")
-
-
-def _tells(text: str) -> Column:
-    return F.exists(words(F.col(text)), lambda w: w.isin(_TELLING))
+def _tells(tokens: Column) -> Column:
+    return F.exists(tokens, lambda w: w.isNotNull() & w.isin(_TELLING))  # false, not null, beside a null
 
 
 def _alone() -> Column:
@@ -221,16 +225,16 @@ def _alone() -> Column:
     return F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
 
 
-def _blocks(docs: DataFrame, telling: bool = False) -> DataFrame:
-    """doc_id, alone, place, and pieces (lines and sentences) of each paragraph, or of each
-    that has a telling word."""
+def _blocks(docs: DataFrame) -> DataFrame:
+    """doc_id, alone, place, and pieces (lines and sentences) of each paragraph, with the tokens of
+    each piece: no word goes over its end, so those of a window are those of its pieces."""
     # The outer form, here and for units: for the plain one Spark adds a filter by the size of
     # what is taken apart, moves it down, and so makes all of it once more.
-    blocks = docs.filter(F.col("text").isNotNull()).select(
-        "doc_id", _alone().alias("alone"), F.posexplode_outer(F.split("text", BLANK)).alias("place", "block"))
-    if telling:
-        blocks = blocks.filter(_tells("block"))
-    return blocks.select("doc_id", "alone", "place", F.split("block", PIECES).alias("pieces"))
+    blocks = _made_once(docs.filter(F.col("text").isNotNull()).select(
+        "doc_id", _alone().alias("alone"), F.posexplode_outer(F.split("text", BLANK)).alias("place", "block")).select(
+        "doc_id", "alone", "place", F.split("block", PIECES).alias("pieces")))
+    return _made_once(blocks.withColumn("tokens", F.transform("pieces", _tokens)).withColumn(
+        "paragraph", F.array_join("pieces", " ")))
 
 
 def _array(names: list[str]) -> Column:
@@ -241,13 +245,14 @@ def _has(lines: tuple[str, ...]) -> Column:
     """Whether ``hits`` has enough word pairs of one of the lines."""
     found = F.lit(False)
     for own in map(_pairs_of, lines):
-        found = found | (F.size(F.array_intersect(F.col("hits"), _array(own))) / len(own) >= MATCHED)
+        found = found | ((F.size("hits") / len(own) >= MATCHED) & (
+            F.size(F.array_intersect(F.col("hits"), _array(own))) / len(own) >= MATCHED))
     return (F.size("hits") > 0) & found
 
 
 def _possible(family: str) -> Column:
-    """Whether ``hits`` and ``paragraph`` have a template or the name of the family."""
-    return F.col("paragraph").rlike(NAMES[family]) | _has(TEMPLATES[family])
+    """Whether ``hits`` and ``naming`` have a template or the name of the family."""
+    return F.coalesce(F.col("naming").rlike(NAMES[family]), F.lit(False)) | _has(TEMPLATES[family])
 
 
 def _hits(own: Column) -> Column:
@@ -261,10 +266,19 @@ _IN_NAMES = ("mit lic", "the mit", "under mit", "terms of mit", "spdx: mit", "id
              "cc zero", "cc-zero", "the public domain")
 
 
-def _named(text: str) -> Column:
-    """Whether the text has any family's name. The expression is slow, so it only looks at
-    text in which a part of a name stands."""
-    return F.lower(F.col(text)).rlike("|".join(_IN_NAMES)) & F.col(text).rlike(_ANY_NAME)
+#: Text that ``CUES`` finds something in has one of these, in lower case.
+_IN_CUES = ("licens", "licenc", "copyright", "warrant", "redistribut", "permission", "permitted", "public domain",
+            "creative commons")
+
+
+def _any_of(text: str, parts: tuple[str, ...]) -> Column:
+    return F.exists(_array(parts), lambda x: F.contains(F.col(text), x))
+
+
+def _named() -> Column:
+    """Whether ``paragraph`` has any family's name. The expression is slow, so it only looks at
+    text in which a part of a name stands: ``low`` is the text in lower case."""
+    return _any_of("low", _IN_NAMES) & F.col("paragraph").rlike(_ANY_NAME)
 
 
 def _made_once(df: DataFrame) -> DataFrame:
@@ -273,64 +287,67 @@ def _made_once(df: DataFrame) -> DataFrame:
     return df.select(F.explode_outer(F.array(F.struct(*df.columns))).alias("row")).select("row.*")
 
 
-
-
-def _with_units(docs: DataFrame, telling: bool = False) -> DataFrame:
-    """doc_id, alone, place, block (a hash), first and last piece, and paragraph, of each piece, each
-    whole paragraph, and each window of a paragraph in which a family is possible.
+def units(docs: DataFrame, telling: bool = True) -> DataFrame:
+    """doc_id, alone, place, block (a hash), first and last piece, hits, grams, naming (the text, if a
+    family's name stands in it) and share of each piece, each whole paragraph, and each window of a
+    paragraph in which a family is possible. ``share`` is how often a unit counts as ordinary text in
+    training: 0 for windows, for what matches a template or general wording, or names a family.
+    ``telling``: only units with a telling word; how many pieces and whole paragraphs of a block have
+    none is ``n`` in a row of its own, without a place, as all of those have the same grams.
 
     A window has no pair of words that its paragraph has not, so none is left out that a
     template or a name could confirm.
     """
-    whole = F.array_join("pieces", " ")
-    blocks = _blocks(docs, telling).withColumn("paragraph", _joined(whole)).withColumn(
-        "words", words(F.col("paragraph"))).withColumn("hits", _hits(F.col("words")))
-    possible = _named("paragraph") | _has(_LINES)
+    blocks = _blocks(docs).withColumn("all", F.flatten("tokens"))
+    blocks = _made_once(blocks.withColumn("tells", _tells(F.col("all"))).withColumn("low", F.lower("paragraph")))
+    blocks = _made_once(blocks.withColumn("hits", F.when(F.col("tells"), _hits(F.col("all")))))
+    possible = F.col("tells") & (_named() | _has(_LINES))
+    blocks = _made_once(blocks.withColumn("possible", possible).withColumn("block", F.xxhash64("paragraph")).drop("low"))
     n = F.size("pieces")
 
-    def unit(first: Column, last: Column) -> Column:
-        return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"), F.array_join(
-            F.slice("pieces", first + 1, last - first + 1), " ").alias("paragraph"))
+    def unit(first: Column, last: Column, paragraph: Column, tokens: Column, count: Column = F.lit(1), whole: bool = True) -> Column:
+        return F.struct(
+            first.cast("int").alias("first"), last.cast("int").alias("last"), paragraph.alias("paragraph"),
+            tokens.alias("tokens"), count.cast("long").alias("n"), F.lit(whole).alias("whole"))
 
-    none = F.array().cast("array<struct<first:int,last:int,paragraph:string>>")
-    singles = F.transform("pieces", lambda x, i: F.struct(
-        i.alias("first"), i.alias("last"), x.alias("paragraph")))
-    entire = F.when(n > 1, F.array(F.struct(
-        F.lit(0).alias("first"), (n - 1).alias("last"), F.col("paragraph")))).otherwise(none)
+    none = F.array().cast("array<struct<first:int,last:int,paragraph:string,tokens:array<string>,n:long,whole:boolean>>")
+    singles = F.transform("pieces", lambda x, i: unit(i, i, x, F.get("tokens", i)))
+    entire = F.when(n > 1, F.array(unit(F.lit(0), n - 1, F.col("paragraph"), F.col("all")))).otherwise(none)
 
     def window(size: int) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))
-        return F.when((n > size) & F.col("possible"), F.transform(
-            starts, lambda i: unit(i, i + (size - 1)))).otherwise(none)
-
-    windows = [window(size) for size in WINDOWS]
-    units = blocks.withColumn("possible", possible).select(
-        "doc_id", "alone", "place", F.xxhash64("paragraph").alias("block"),
-        F.explode_outer(F.concat(singles, entire, *windows)).alias("unit"))
-    return units.select("doc_id", "alone", "place", "block", "unit.first", "unit.last", F.col("unit.paragraph").alias("paragraph"))
-
-
-def _drawn(docs: DataFrame, sample: int, rows: int) -> DataFrame:
-    """About ``sample`` documents, picked by a hash of the text."""
-    share = 1_000_000 * min(1.0, sample / max(rows, 1))
-    return docs.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
-
-
-def _ordinary(docs: DataFrame, sample: int) -> DataFrame:
-    """Pieces and whole paragraphs of about ``sample`` documents, and those with a cue of
-    ``CUED`` times as many, but none that matches a template or general wording or names
-    a family."""
-    rows = docs.count()
-    blocks = _blocks(_drawn(docs, CUED * sample, rows).withColumn("doc_id", F.pmod(
-        F.xxhash64("text"), F.lit(1_000_000)) < 1_000_000 * min(1.0, sample / max(rows, 1))))
-    both = F.concat("pieces", F.when(F.size("pieces") > 1, F.array(
-        F.array_join("pieces", " "))).otherwise(F.array().cast("array<string>")))
-    units = blocks.select(F.col("doc_id").alias("near"), F.explode(both).alias("paragraph")).filter(
-        F.col("near") | F.col("paragraph").rlike(CUES))
-    marked = _made_once(units.withColumn("words", words(F.col("paragraph"))).withColumn("hits", _hits(F.col("words"))))
-    other = _named("paragraph") | _has(_LINES) | (
-        F.col("paragraph").rlike(CUES) & _has(tuple(x for x in GENERAL if _pairs_of(x))))
-    return marked.filter(~other).select(F.lit(ORDINARY).alias("family"), "paragraph")
+        return F.when((n > size) & F.col("possible"), F.transform(starts, lambda i: unit(
+            i, i + (size - 1), F.array_join(F.slice("pieces", i + 1, F.lit(size)), " "),
+            F.flatten(F.slice("tokens", i + 1, F.lit(size))), whole=False))).otherwise(none)
+
+    made = F.concat(singles, entire, *(window(size) for size in WINDOWS))
+    if telling:
+        # Of a paragraph without a telling word there is no unit but the count.
+        plain = F.size(F.filter("tokens", lambda t: ~_tells(t))) + F.when((n > 1) & ~F.col("tells"), 1).otherwise(0)
+        empty = F.lit(None).cast("int")
+        rest = F.array(unit(empty, empty, F.lit(None).cast("string"), F.array().cast("array<string>"), plain))
+        made = F.when(F.col("tells"), F.concat(F.filter(made, lambda u: _tells(u["tokens"])), rest)).otherwise(rest)
+    rows = blocks.select("doc_id", "alone", "place", "block", F.explode_outer(made).alias("unit")).select(
+        "doc_id", "alone", "place", "block", "unit.*")
+    rows = _made_once(_with_grams(rows.withColumn("low", F.lower("paragraph"))))
+    cued = _any_of("low", _IN_CUES)
+    rows = _made_once(rows.withColumn("named", F.coalesce(_named(), F.lit(False))).withColumn(
+        "cued", F.coalesce(cued, F.lit(False))).drop("low"))
+    other = F.col("named") | _has(_LINES) | (F.col("cued") & _has(tuple(x for x in GENERAL if _pairs_of(x))))
+    return rows.select(
+        "doc_id", "alone", "place", "block", "first", "last", "hits", "grams", "n",
+        F.when(F.col("named"), F.col("paragraph")).alias("naming"),
+        F.when(~F.col("whole") | other, 0).when(F.col("cued"), CUED).otherwise(1).alias("share"))
+
+
+def _ordinary(found: DataFrame, rows: int) -> DataFrame:
+    """family, grams, fold and times of the ordinary units of all of ``rows`` documents, equal ones
+    counted. A paragraph's units are in one fold. The table counts as ``WEIGHS`` documents, cued
+    units as ``CUED`` times as many; ``times`` are in units of one ``rows``-th."""
+    counted = found.filter("share > 0").groupBy("grams", F.pmod("block", F.lit(5)).alias("fold"), "share").agg(
+        F.sum("n").alias("n"))
+    weight = F.least(F.lit(rows).cast("long"), WEIGHS * F.col("share"))
+    return counted.filter("n > 0").select(F.lit(ORDINARY).alias("family"), "grams", "fold", (F.col("n") * weight).alias("times"))
 
 
 @dataclass
@@ -345,23 +362,27 @@ class Model:
     plain: float
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Train on templates, general wording, short names, and ordinary paragraphs from
-    documents that are picked by a hash of the text."""
+def learn(docs: DataFrame, found: DataFrame | None = None) -> Model:
+    """Train on templates, general wording, short names, and the ordinary paragraphs of every
+    document, of which equal ones are counted. ``found``: units(docs), if they were made before."""
     spark = docs.sparkSession
     alone = [(ORDINARY, x) for x in (*FOOTERS, *(w for w in _TAUGHT_WORDS if w not in _NAMING)) for _ in range(20)]
-    rows = _taught(spark).unionByName(_ordinary(docs, sample)).unionByName(
-        spark.createDataFrame(alone, "family string, paragraph string"))
+    n = docs.count()
+    taught = _with_grams(_taught(spark).unionByName(spark.createDataFrame(alone, "family string, paragraph string")).withColumn(
+        "tokens", _tokens(F.col("paragraph")))).select(
+        "family", "grams", F.pmod(F.xxhash64("paragraph"), F.lit(5)).alias("fold"), F.lit(max(n, 1)).cast("long").alias("times"))
+    rows = taught.unionByName(_ordinary(units(docs) if found is None else found, n))
     families = sorted({*TEMPLATES, UNKNOWN, ORDINARY})
     place = F.array_position(F.array(*(F.lit(f) for f in families)), F.col("family")) - 1
     rows = stored(_with_features(rows).select(
-        "family", "features", place.cast("double").alias("label"),
-        F.pmod(F.xxhash64("paragraph"), F.lit(5)).alias("fold")), "licence-training").coalesce(TRAINING_TASKS)
+        "family", "features", place.cast("double").alias("label"), "fold", "times"), "licence-training")
     # General wording and ordinary text are one answer each and many rows; weight by label.
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    sizes = {r["label"]: (r["times"], r["n"]) for r in rows.groupBy("label").agg(
+        F.sum("times").alias("times"), F.count("*").alias("n")).collect()}
+    rows = rows.coalesce(max(TRAINING_TASKS, sum(n for _, n in sizes.values()) // TRAINING_ROWS))
     weight = F.lit(1.0)
-    for label, n in sizes.items():
-        weight = F.when(F.col("label") == label, 100.0 / n).otherwise(weight)
+    for label, (times, _) in sizes.items():
+        weight = F.when(F.col("label") == label, F.col("times") * (100.0 / times)).otherwise(weight)
     regression = LogisticRegression(
         family="multinomial", regParam=0.002, maxIter=40, weightCol="weight", featuresCol="features")
     fitted = regression.fit(rows.filter("fold <> 0").withColumn("weight", weight))
@@ -370,7 +391,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     best = F.greatest(*(F.element_at(chances, i + 1) for i in among))
     foreign = fitted.transform(rows.filter("fold = 0").filter(~F.col("family").isin(*TEMPLATES)))
     other = F.when(F.col("family") == ORDINARY, 1 - F.element_at(chances, families.index(ORDINARY) + 1))
-    calibrated, clean = foreign.select(F.percentile(best, F.lit(0.99)), F.percentile(other, F.lit(0.999))).first()
+    calibrated, clean = foreign.select(*(F.percentile(F.ceil(x * STEPS), F.lit(share), F.col("times")) / STEPS for x, share in (
+        (best, 0.99), (other, 0.999)))).first()
     others = HashingTF(numFeatures=FEATURES).indexOf("other 4")
     plain = 1 - fitted.predictProbability(Vectors.sparse(FEATURES, {others: 1.0}))[families.index(ORDINARY)]
     return Model(families, fitted, max(LEAST, min(MOST, calibrated or 0.0)), max(LEAST, min(MOST, clean or 0.0)),
@@ -387,7 +409,7 @@ def _meet(x: Column, y: Column) -> Column:
     return (x["first"] <= y["last"]) & (y["first"] <= x["last"])
 
 
-def statements(docs: DataFrame, model: Model) -> DataFrame:
+def statements(docs: DataFrame, model: Model, made: DataFrame | None = None) -> DataFrame:
     """doc_id, alone, family, score and n of the licence statements found, n of them equal.
 
     Every piece and every paragraph of every text is scored. Those without a taught word have
@@ -396,16 +418,18 @@ def statements(docs: DataFrame, model: Model) -> DataFrame:
     is found in; unknown licences are those beside them.
     """
     telling = model.plain < model.foreign
-    scored = model.regression.transform(_with_features(_with_units(docs, telling), telling))
+    if made is None or not telling:
+        made = units(docs, telling)
+    scored = model.regression.transform(_with_features(made.filter("first is not null")))
     chances = F.col("chances")
     others = [F.struct(F.element_at(chances, i + 1).alias("chance"), F.lit(f).alias("name"))
               for i, f in enumerate(model.families) if f != ORDINARY]
-    made = _made_once(scored.select("doc_id", "alone", "place", "block", "first", "last", "hits", "paragraph",
-                                    vector_to_array("probability").alias("chances")))
-    marked = made.filter(
+    judged = _made_once(scored.select("doc_id", "alone", "place", "block", "first", "last", "hits", "naming",
+                                      vector_to_array("probability").alias("chances")))
+    marked = judged.filter(
         1 - F.element_at(chances, model.families.index(ORDINARY) + 1) >= model.foreign)
     marked = marked.withColumn("best", F.greatest(*others)).select(
-        "doc_id", "alone", "place", "block", "first", "last", "hits", _joined(F.col("paragraph")).alias("paragraph"),
+        "doc_id", "alone", "place", "block", "first", "last", "hits", "naming",
         F.col("best.name").alias("named"), F.col("best.chance").alias("score"))
     confirmed = F.lit(False)
     for family in TEMPLATES:
@@ -429,17 +453,17 @@ def statements(docs: DataFrame, model: Model) -> DataFrame:
         "doc_id", "alone", "x.family", "x.score", "x.n")
 
 
-def licences(docs: DataFrame, model: Model) -> DataFrame:
+def licences(docs: DataFrame, model: Model, made: DataFrame | None = None) -> DataFrame:
     """doc_id, licence, score, n_statements and families for every row of ``docs``.
 
     ``families`` are the distinct families found, in order and joined by commas;
     ``licence`` is that of the most certain statement, a known family before ``unknown``,
     and ``none`` (score 0) where no statement is found, as in null and empty texts. Rows
     that repeat an id share the result of all of them; rows without an id each have their
-    own. An empty table gives an empty result.
+    own. An empty table gives an empty result. ``made``: units(docs), if they were made before.
     """
     best = F.max(F.struct((F.col("family") != UNKNOWN).alias("known"), "score", "family"))
-    found = statements(docs, model).groupBy("doc_id", "alone").agg(
+    found = statements(docs, model, made).groupBy("doc_id", "alone").agg(
         best.alias("best"), F.sum("n").alias("n"), F.array_sort(F.collect_set("family")).alias("all"))
     return with_facts(docs.select("doc_id", _alone().alias("alone")), found, ["doc_id", "alone"]).select(
         "doc_id", F.coalesce("best.family", F.lit(ORDINARY)).alias("licence"),

@@ -183,3 +183,51 @@ def test_rows_without_an_id_have_results_of_their_own(docs_of, model):
     rows = licences.licences(docs_of(*[(None, t, "en", "s") for t in texts]), model).collect()
     assert sorted((r["licence"], r["n_statements"], r["families"]) for r in rows) == [
         ("Apache", 1, "Apache"), ("MIT", 1, "MIT"), ("MIT", 1, "MIT"), ("none", 0, "")]
+
+
+def test_ordinary_text_is_learned_from_every_document(spark, docs_of):
+    """A sentence that looks like a licence, in documents that a sample of 300 by a hash of the text leaves out."""
+    sentence = "The author has the rights to the software and to the source code."
+    real = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    with_it = docs_of(*((10_000_000 + i, f"{sentence} It was day {i}.", "en", "s") for i in range(400))).filter(
+        "pmod(xxhash64(text), 1000000) >= 400000").select(*real.columns)
+    assert with_it.count() > 200
+    assert found(docs_of(sentence), licences.learn(real))[0]["licence"] == "unknown"
+    assert found(docs_of(sentence), licences.learn(real.unionByName(with_it)))[0]["licence"] == "none"
+
+
+def test_training_counts_every_ordinary_unit(spark, docs_of):
+    """Against the units of all documents, cut and counted one by one."""
+    real = spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()
+    texts = [r["text"] for r in real] + [
+        "An author.\nAn author.\n\nIt was there. The law is the law", "", None, "permission was given", *WRAPPED.values(),
+        "no telling word here.\nNor here"] + ["An author of an example.\n\n\nand more"] * 40
+    wanted = {}
+    for text in texts:
+        for block in re.split(licences.BLANK, text) if text is not None else []:
+            pieces = re.split(licences.PIECES, block)
+            for unit in pieces + [" ".join(pieces)] * (len(pieces) > 1):
+                own = re.findall(licences._WORD, unit.lower())
+                hits = [p for p in (f"{a} {b}" for a, b in zip(own, own[1:])) if p in licences._TAUGHT_PAIRS]
+                known = [w for w in own if w in licences._TAUGHT_WORDS]
+                cued = re.search(licences.CUES, unit)
+
+                def has(lines):
+                    return any(len(set(hits) & set(licences._pairs_of(x))) / len(licences._pairs_of(x)) >= licences.MATCHED
+                               for x in lines if licences._pairs_of(x))
+
+                telling = set(own) & set(licences._TELLING)
+                if telling and (re.search(licences._ANY_NAME, unit) or has(licences._LINES) or cued and has(licences.GENERAL)):
+                    continue
+                quarters = -(-4 * (len(own) - len(known)) // len(own)) if own else 4
+                grams = {*known, *(p for p in hits if p not in licences._FUNCTION_PAIRS), f"other {quarters}"}
+                key = tuple(sorted(grams)), licences.CUED if telling and cued else 1
+                wanted[key] = wanted.get(key, 0) + 1
+    rows = len(texts)
+    got = {}
+    for r in licences._ordinary(licences.units(docs_of(*texts)), rows).collect():
+        got[tuple(r["grams"])] = got.get(tuple(r["grams"]), 0) + r["times"]
+    weights = {}
+    for (grams, share), n in wanted.items():
+        weights[grams] = weights.get(grams, 0) + n * min(rows, licences.WEIGHS * share)
+    assert rows > 3 * licences.WEIGHS and got == weights
