@@ -10,16 +10,33 @@ large to broadcast by Spark's own size check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrid.sources import schemas
+from tallygrid.session import input_bytes
+from tallygrid.sources import schemas, sinks
+from tallygrid.sources.scratch import fresh_folder, remove, tidy_session
 
 SALES_COLUMNS = tuple(f.name for f in schemas.SALES)
 EMPLOYEE_COLUMNS = tuple(f.name for f in schemas.EMPLOYEES)
 PART_COLUMNS = {"product_name", "category"}
 CUSTOMER_COLUMNS = {"customer_name", "region"}
 ORDER_COLUMNS = {"customer_id", "sale_date"} | CUSTOMER_COLUMNS
+#: Bytes of line items, as they are stored, in one piece of the sales. Every piece reads the
+#: other tables, so the number of pieces does not grow without end.
+PIECE = 64 << 20
+MOST_PIECES = 16
+PIECE_COLUMN = "__piece"
+#: What sales need of a line item and of an order.
+LINE_NEEDS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+ORDER_NEEDS = ("o_orderkey", "o_custkey", "o_orderdate")
+
+
+def dealt(key: Column, n: int) -> Column:
+    """The piece of ``n`` that a key falls into, 0 for null."""
+    return F.when(key.isNull(), 0).otherwise(F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
 
 
 class Star:
@@ -34,6 +51,47 @@ class Star:
             self._tables[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
+    def n_pieces(self) -> int:
+        held = input_bytes(self.spark, f"{self.folder}/lineitem.parquet")
+        return max(1, min(-(-held // PIECE), MOST_PIECES))
+
+    def pieces(self, by_day: bool = False) -> Iterator[Star]:
+        """Stars that together have every sale once, ``by_day`` with all sales of a day in one
+        of them. Their session removes shuffle files after every write: if what is made of one
+        piece is written before the next is taken, the disk holds those of a single piece.
+
+        What sales need of line items and orders is dealt out to scratch folders, by order or
+        by the days of an order; a piece's files go when the next is taken.
+        """
+        n = self.n_pieces()
+        whole = Star(tidy_session(self.spark), self.folder)
+        if n == 1:
+            yield whole
+            return
+        orders = whole.table("orders").select(*ORDER_NEEDS)
+        lines = whole.table("lineitem").select(*LINE_NEEDS)
+        if by_day:
+            orders = orders.withColumn(PIECE_COLUMN, dealt(F.col("o_orderdate").cast("date"), n))
+            # An order's key may be repeated, with several days.
+            held = orders.select("o_orderkey", PIECE_COLUMN).distinct()
+            lines = lines.join(held, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
+                *LINE_NEEDS, F.coalesce(PIECE_COLUMN, F.lit(0)).alias(PIECE_COLUMN))
+        else:
+            orders = orders.withColumn(PIECE_COLUMN, dealt(F.col("o_orderkey"), n))
+            lines = lines.withColumn(PIECE_COLUMN, dealt(F.col("l_orderkey"), n))
+        tables = {"orders": orders, "lineitem": lines}
+        folders = {name: fresh_folder(self.spark, name) for name in tables}
+        for name, table in tables.items():
+            sinks.add_rows(table, folders[name], [PIECE_COLUMN])
+        for i in range(n):
+            piece = Star(whole.spark, self.folder)
+            for name, table in tables.items():
+                stored = whole.spark.read.schema(table.schema).parquet(folders[name])
+                piece._tables[name] = stored.where(F.col(PIECE_COLUMN) == i).drop(PIECE_COLUMN)
+            yield piece
+            for folder in folders.values():
+                remove(self.spark, f"{folder}/{PIECE_COLUMN}={i}")
+
     def _nations(self, regions: bool = False) -> DataFrame:
         """Nations, on request with their region."""
         nation = self.table("nation")
@@ -43,7 +101,7 @@ class Star:
         return nation
 
     def _orders(self, wanted: set[str]) -> DataFrame:
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        orders = self.table("orders").select(*ORDER_NEEDS)
         if wanted & CUSTOMER_COLUMNS:
             customer = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
             if "region" in wanted:

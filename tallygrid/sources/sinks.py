@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 
 from tallygrid.sources.tables import TEXT_CELLS
 
+#: About 250 MB of text for sales documents.
+DOCUMENTS_PER_FILE = 500_000
+
 
 def _writer(df: DataFrame, one_file: bool):
     return (df.coalesce(1) if one_file else df).write.mode("overwrite")
@@ -47,6 +50,17 @@ def write_documents(df: DataFrame, path: str, one_file: bool = False) -> None:
     _writer(df, one_file).json(path)
 
 
+def add_documents(df: DataFrame, path: str) -> None:
+    """JSON lines beside those that are there, compressed. A task reads such a file as a
+    whole, so files end after a number of documents."""
+    df.write.mode("append").options(compression="gzip", maxRecordsPerFile=DOCUMENTS_PER_FILE).json(path)
+
+
+def add_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Parquet beside what is there, compressed."""
+    df.write.mode("append").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Parquet, optionally laid out by columns so that later scans prune.
 
