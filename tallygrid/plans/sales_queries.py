@@ -9,6 +9,8 @@ from tallygrid.operators import report
 from tallygrid.operators import sales as ops
 from tallygrid.plans.catalog import query
 from tallygrid.plans.oracle import mean, over, total
+from tallygrid.sources import sinks
+from tallygrid.sources.scratch import fresh_folder
 
 ODD = {"max_amount": 104000, "max_quantity": 49, "max_price": 52000}
 ODD_SALE = "total_amount > 104000 OR quantity > 49 OR unit_price > 52000"
@@ -168,12 +170,23 @@ def _(star):
         star.sales(), amounts=star.sales("sale_date", "total_amount"))
 
 
+def daily_rank(star):
+    return ops.sales_daily_rank(star.sales(), amounts=star.sales("sale_date", "total_amount"))
+
+
 @query("sales_daily_rank", over(f"""
 SELECT {COLUMNS},
        rank() OVER (PARTITION BY sale_date ORDER BY total_amount DESC) AS daily_rank
 FROM sales"""))
 def _(star):
-    return ops.sales_daily_rank(star.sales(), amounts=star.sales("sale_date", "total_amount"))
+    """Sales of more than one piece are ranked piece by piece, into a scratch folder."""
+    if star.n_pieces() == 1:
+        return daily_rank(star)
+    path = fresh_folder(star.spark, "daily_rank")
+    for piece in star.pieces(by_day=True):
+        ranked = daily_rank(piece)
+        sinks.add_rows(ranked, path)
+    return star.spark.read.schema(ranked.schema).parquet(path)
 
 
 @query("geographic_analysis", over(f"""

@@ -27,7 +27,7 @@ ORDER_COLUMNS = {"customer_id", "sale_date"} | CUSTOMER_COLUMNS
 #: Bytes of line items, as they are stored, in one piece of the sales. Every piece reads the
 #: other tables, so the number of pieces does not grow without end.
 PIECE = 64 << 20
-MOST_PIECES = 16
+MOST_PIECES = 10
 PIECE_COLUMN = "__piece"
 #: What sales need of a line item and of an order.
 LINE_NEEDS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")

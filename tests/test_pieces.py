@@ -1,6 +1,7 @@
 """Sales in pieces: what a large scan or ranking leaves on disk while it runs."""
 
 import datetime as dt
+import pathlib
 import time
 
 import pytest
@@ -77,3 +78,18 @@ def test_scanned_documents_take_little_disk(spark, folder, rows_of):
     expected = rows_of(flat(stars.Star(spark, folder).documents()))
     assert rows_of(got) == expected
     assert held < 100 * len(expected)
+
+
+def test_daily_rank_of_many_pieces_leaves_only_its_rows(spark, folder, rows_of):
+    known, before = set(scratch._made), shuffle_files(spark)
+    got = queries()["sales_daily_rank"](spark, folder)
+    assert not left_behind(spark, before)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Window" not in text
+    sizes = {f: sum(p.stat().st_size for p in pathlib.Path(f.removeprefix("file:")).rglob("*.parquet"))
+             for f in set(scratch._made) - known}
+    assert sorted(map(bool, sizes.values())) == [False, False, True]
+    sales = stars.Star(spark, folder).sales()
+    by_day = Window.partitionBy("sale_date").orderBy(F.desc("total_amount"))
+    plain = sales.withColumn("daily_rank", F.rank().over(by_day).cast("long"))
+    assert got.columns == plain.columns and rows_of(got) == rows_of(plain)
